@@ -16,5 +16,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), outputs=("n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_sentencepiece": op1_sentencepiece}
+    own = (op1_sentencepiece, op10_packing)
+    return {f.__name__: f for f in own}

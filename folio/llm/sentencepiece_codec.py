@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 
 SPACE = "▁"
 #: Distinct chunks remembered by a Python worker before its cache starts anew.
-CACHED_CHUNKS = 200_000
+CACHED_CHUNKS = 400_000
 
 OUTPUTS = {
     "n_tokens": ("long", pa.int64()),
@@ -149,6 +150,7 @@ class Codec:
         self.normalizer = Normalizer.of(proto.normalizer_spec)
         self.tail = [self.sp.eos_id()] if add_eos else []
         self.by_chunk = self._splits_at_spaces(proto)
+        self.lengths = [1 if p.type == 6 else len(p.piece.encode()) for p in proto.pieces]
         self.cache: dict[str, tuple] = {}
 
     @staticmethod
@@ -162,6 +164,7 @@ class Codec:
             and not spec.remove_extra_whitespaces
             and proto.trainer_spec.model_type == 2
             and not proto.trainer_spec.treat_whitespace_as_suffix
+            and proto.trainer_spec.byte_fallback
             and not any(p.type == 4 or re.search(f"[^{SPACE}]{SPACE}", p.piece) for p in proto.pieces)
         )
 
@@ -175,37 +178,45 @@ class Codec:
         at = np.minimum(at, len(source) - 1).astype(np.int64)
         return ids, source[at[:-1]], source[at[1:]]
 
-    def _chunk(self, chunk: str) -> tuple:
-        """What a text needs of a chunk that follows a space: count, ids as text, packed ids, packed source lengths, surface."""
-        ids, start, end = self._segment(chunk)
-        sizes = (end - start).astype("<u4")
-        if len(sizes):
-            sizes[0] += 1
-        found = len(ids), " ".join(map(str, ids)), np.array(ids, dtype="<i4").tobytes(), sizes.tobytes(), self.sp.decode(ids)
-        if len(self.cache) >= CACHED_CHUNKS:
+    def learn(self, chunks: set[str]) -> None:
+        """Remember what a text needs of each chunk that follows a space: ids as text and packed, packed source lengths, surface.
+
+        Without a character map a piece covers the source bytes that it spells;
+        the marker at its start stands for the space before the chunk.
+        """
+        if len(self.cache) + len(chunks - self.cache.keys()) > CACHED_CHUNKS:
             self.cache.clear()
-        self.cache[chunk] = found
-        return found
-
-    def encode(self, text: str | None) -> dict:
-        """ids as text and packed, spans, and the decoded text."""
-        text = text or ""
-        if self.by_chunk and text and SPACE not in text and "  " not in text and text[0] != " " and text[-1] != " ":
-            get, make = self.cache.get, self._chunk
-            parts = [get(c) or make(c) for c in text.split(" ")]
-            sizes = np.frombuffer(b"".join([p[3] for p in parts]), dtype="<u4").astype(np.int64)
-            sizes[0] -= 1
-            ends = np.cumsum(sizes)
-            said = " ".join([p[1] for p in parts])
-            packed = b"".join([p[2] for p in parts])
-            starts, decoded = ends - sizes, " ".join([p[4] for p in parts])
-        else:
-            ids, starts, ends = self._segment(text)
-            said, packed, decoded = " ".join(map(str, ids)), np.array(ids, dtype="<i4").tobytes(), self.sp.decode([*ids, *self.tail])
+        chunks -= self.cache.keys()
+        new, length, cache = list(chunks), self.lengths, self.cache
+        for chunk, ids, surface in zip(new, found := self.sp.encode(new, out_type=int, num_threads=1), self.sp.decode(found), strict=True):
+            sizes = [length[i] for i in ids]
+            if sizes:
+                sizes[0] -= len(SPACE.encode()) - 1
+            cache[chunk] = " ".join(map(str, ids)), array("i", ids).tobytes(), array("I", sizes).tobytes(), surface
+
+    def encode_all(self, texts: list[str | None]) -> list[dict]:
+        """ids as text and packed, spans, and the decoded text, of each text."""
+        texts = [t or "" for t in texts]
+        chunks = [t.split(" ") if self.by_chunk and t and SPACE not in t and "  " not in t and t[0] != " " and t[-1] != " " else None for t in texts]
+        self.learn({c for own in chunks if own for c in own})
+        return [self._of_chunks(t, own) if own else self._of_whole(t) for t, own in zip(texts, chunks, strict=True)]
+
+    def _of_chunks(self, text: str, chunks: list[str]) -> dict:
+        parts = [self.cache[c] for c in chunks]
+        sizes = np.frombuffer(b"".join([p[2] for p in parts]), dtype="<u4").astype(np.int64)
+        sizes[0] -= 1  # no space before the first
+        ends = np.cumsum(sizes)
+        return self._with_tail(text, " ".join([p[0] for p in parts]), b"".join([p[1] for p in parts]), ends - sizes, ends, " ".join([p[3] for p in parts]))
+
+    def _of_whole(self, text: str) -> dict:
+        ids, starts, ends = self._segment(text)
+        return self._with_tail(text, " ".join(map(str, ids)), array("i", ids).tobytes(), starts, ends, self.sp.decode([*ids, *self.tail]))
+
+    def _with_tail(self, text: str, said: str, packed: bytes, starts: np.ndarray, ends: np.ndarray, decoded: str) -> dict:
         if self.tail:
             whole = len(text.encode())
             said = f"{said} {self.tail[0]}" if said else str(self.tail[0])
-            packed += np.array(self.tail, dtype="<i4").tobytes()
+            packed += array("i", self.tail).tobytes()
             starts, ends = np.append(starts, whole), np.append(ends, whole)
         return {"ids_text": said, "packed": packed, "starts": starts, "ends": ends, "decoded": decoded}
 
@@ -256,7 +267,7 @@ def encode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = [own.encode(t) for t in part.column(1).to_pylist()]
+                found = own.encode_all(part.column(1).to_pylist())
                 columns = [part.column(0).cast(arrow_id)]
                 columns += [pa.array([_values(x, k) for x in found], type=OUTPUTS[k][1]) for k in outputs]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
