@@ -119,9 +119,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
         if size < capacity:
             before = open_with[size:capacity]
             if before.any():
-                # (after - before) of the squares: one fewer with this gap, one more with what is left of it
-                change = open_with[: capacity - size] - before + 1
-                change[0] = -before[0]  # a filled one leaves the count; twice the change is 1 - 2 * before there
+                # how the sum changes: one fewer with this gap, one more with what is left of it; a filled one only leaves
+                change = 2 * (open_with[: capacity - size] - before + 1)
+                change[0] = 1 - 2 * before[0]
                 gap = size + int(np.where(before > 0, change, np.iinfo(np.int64).max).argmin())
         if gap:
             own = stacks[gap].pop()
