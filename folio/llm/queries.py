@@ -16,6 +16,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), outputs=("n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm.suffix_dedup import dedup
+
+    return dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm.packing import pack
 
@@ -23,5 +29,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_sentencepiece, op10_packing)
+    own = (op1_sentencepiece, op4_suffix_dedup, op10_packing)
     return {f.__name__: f for f in own}
