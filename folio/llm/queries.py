@@ -22,6 +22,12 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm.simhash import groups
+
+    return groups(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm.packing import pack
 
@@ -29,5 +35,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_sentencepiece, op4_suffix_dedup, op10_packing)
+    own = (op1_sentencepiece, op4_suffix_dedup, op7_simhash, op10_packing)
     return {f.__name__: f for f in own}
