@@ -31,3 +31,13 @@ def fold(id_col: str, n: int) -> Column:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def sampled(docs: DataFrame, chosen: DataFrame, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """At most ``rows`` of the ``chosen`` ids (those of smallest hash; other columns stay) with their texts, written once.
+
+    The broadcast side holds ``rows`` rows at most.  Ids that ``docs`` repeats give a row each.
+    """
+    few = chosen.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).orderBy(F.xxhash64(id_col), id_col).limit(rows)
+    texts = docs.select(F.col(id_col), F.col(text_col).alias("text"))
+    return checkpointed(texts.join(F.broadcast(few), id_col))

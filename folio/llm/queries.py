@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folio.llm.common import table
+from folio.llm.common import fold, table
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +29,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm.toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels").filter(fold("doc_id", 5) != 0))
+    return score(docs, model).select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted", F.size("starts").alias("n_passages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm.packing import pack
 
@@ -35,5 +44,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_sentencepiece, op4_suffix_dedup, op7_simhash, op10_packing)
+    own = (op1_sentencepiece, op4_suffix_dedup, op7_simhash, op9_toxicity, op10_packing)
     return {f.__name__: f for f in own}
