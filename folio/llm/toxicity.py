@@ -153,10 +153,10 @@ def _with_scores(model: Model, counts: DataFrame, n1: int, n0: int) -> Model:
 
 def _fit_gumbel(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
     """Location and scale of best scores that move with log(n), by moments of the texts that have a segment."""
-    own = best > 0
-    if own.sum() < 20:
-        return 0.0, 1.0
-    x, logs = best[own], np.log(np.maximum(n[own], 1))
+    own, logs = best > 0, np.log(np.maximum(n, 1))
+    if own.sum() < 20:  # log-odds have scale 1; segments of any score are as frequent as they were
+        return float(np.log((own.sum() + 0.5) / (len(own) + 1)) - logs.mean()), 1.0
+    x, logs = best[own], logs[own]
     scale = max(0.3, float(np.std(x) * np.sqrt(6) / np.pi))
     return float(np.mean(x - scale * logs) - 0.5772 * scale), scale
 
