@@ -23,6 +23,12 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm.quality_rules import judge
+
+    return judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm.simhash import groups
 
@@ -44,5 +50,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_sentencepiece, op4_suffix_dedup, op7_simhash, op9_toxicity, op10_packing)
+    own = (op1_sentencepiece, op4_suffix_dedup, op6_quality_rules, op7_simhash, op9_toxicity, op10_packing)
     return {f.__name__: f for f in own}
