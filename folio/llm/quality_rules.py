@@ -60,18 +60,20 @@ def with_counts(docs: DataFrame) -> DataFrame:
     words = F.col("words")
     inner = F.slice(words, 1, F.greatest(F.col("n_words").cast("int") - 2, F.lit(0)))
     df = df.withColumn("windows", F.transform(inner, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))))
-    df = df.withColumn("places", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), _repeated_places(F.col("windows"))))
+    # what a lambda looks up by place has to be a column, or it would be made anew for each element
+    ranked = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    df = df.withColumn("ranked", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), ranked))
+    df = df.withColumn("places", _repeated_places(F.col("ranked")))
     places = F.col("places")
     reach = F.transform(places, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(places, k + 1) - p, F.lit(3))))
     df = df.withColumn("n_repeat_words", F.coalesce(F.aggregate(reach, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0)).cast("long"))
-    return df.drop("windows", "places")
+    return df.drop("windows", "ranked", "places")
 
 
-def _repeated_places(windows: Column) -> Column:
-    """Places, in order, of the windows that are found twice or more."""
-    ranked = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    twice = F.filter(F.transform(ranked, lambda x, k: F.when((F.get(ranked, k - 1)["h"] == x["h"]) | (F.get(ranked, k + 1)["h"] == x["h"]), x["i"])), lambda i: i.isNotNull())
-    return F.sort_array(twice)
+def _repeated_places(ranked: Column) -> Column:
+    """Places, in order, of the windows that are found twice or more; ``ranked``: (hash, place) sorted."""
+    twice = F.transform(ranked, lambda x, k: F.when((F.get(ranked, k - 1)["h"] == x["h"]) | (F.get(ranked, k + 1)["h"] == x["h"]), x["i"]))
+    return F.sort_array(F.filter(twice, lambda i: i.isNotNull()))
 
 
 def forms_of(text: Column) -> Column:
