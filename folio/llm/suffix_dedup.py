@@ -24,9 +24,10 @@ nor copies, and each text once.  No step pairs documents or segments.
 
 Defined cases: a null text is empty; nothing is marked in texts under ``length``
 bytes; repeated rows are documents of their own, so long ones lose all bytes; an
-id stands for one text (rows with one id and different texts share their marks);
-null ids are one id; an empty table gives an empty result; other columns are
-ignored by the operator and kept by ``without_repeats``.
+id stands for one text (rows with one id and different texts share their marks;
+rows without an id don't); ids up to -2**62 are read as none; an empty table gives
+an empty result; other columns are ignored by ``dedup`` and kept by
+``without_repeats``.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.common import checkpointed
@@ -53,7 +54,10 @@ CHUNK = 1 << 19
 #: Anchors that a task sums up before it sends them.
 SUMMED = 400_000
 
-NO_ID = -(2**63)
+#: Keys of rows without an id are hashes of their texts, below any id that a table may use.
+NO_ID = -(2**62)
+#: Names of passing columns that no table is expected to have.
+_STARTS, _COUNTS = "__repeat_starts__", "__repeat_counts__"
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -313,9 +317,16 @@ def _groups(source: DataFrame, length: int, k: int) -> DataFrame:
     return counted.filter("uses > 1").drop("uses")
 
 
-def repeated_windows(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
-    """Runs of window starts that repeat: key, start, n."""
-    docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(text_col).cast("binary").alias("content"))
+def _key(id_col: str, text_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) - F.pmod(F.xxhash64(text_col), F.lit(2**62)))
+
+
+def keyed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return df.select(_key(id_col, text_col).alias("key"), F.col(text_col).cast("binary").alias("content"))
+
+
+def repeated_windows(docs: DataFrame, dealt: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
+    """Runs of window starts that repeat: key, start, n.  ``docs``: keyed texts; ``dealt``: the same, dealt by key."""
     source = docs.select("key", F.lit(0).cast("long").alias("base"), F.lit(1).cast("long").alias("weight"), "content")
     found = None
     for level, share in enumerate(LEVELS):
@@ -325,11 +336,10 @@ def repeated_windows(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         marks = source.mapInArrow(anchored(length, k, summed=False), ANCHORS).filter("c = 1" if level else "true").join(whole, ["a", "u"], "left_semi").selectExpr("key", "start", "cast(n as long) as n")
         if k < length:
             places = groups.filter("contents > 1").withColumnRenamed("start", "from")
-            texts = docs.withColumnRenamed("content", "text") if level == 0 else source.selectExpr("key", "base", "content as text")
             if level == 0:
-                taken = places.join(texts, "key").withColumn("at", F.col("from"))
+                taken = places.join(dealt.withColumnRenamed("content", "text"), "key").withColumn("at", F.col("from"))
             else:  # a piece of text may hold several of a document's segments
-                taken = places.join(texts, "key").withColumn("at", F.col("from") - F.col("base")).filter(f"at >= 0 and at + n + {length - 1} <= length(text)")
+                taken = places.join(source.selectExpr("key", "base", "content as text"), "key").withColumn("at", F.col("from") - F.col("base")).filter(f"at >= 0 and at + n + {length - 1} <= length(text)")
                 taken = taken.dropDuplicates(["a", "u"])
             taken = taken.selectExpr("a", "key", "`from`", "c", f"substring(text, cast(at + 1 as int), n + {length - 1}) as content", "contents")
             few = taken.filter(F.col("contents") <= crowded).drop("contents")
@@ -366,8 +376,9 @@ def spans_of(starts: list[int], counts: list[int], length: int) -> tuple[np.ndar
 
 def dedup(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept_sha256"), crowded: int = CROWDED) -> DataFrame:
     """One row per document: its id, and columns of ``OUTPUTS``: removed spans of bytes, what is kept, or digests of both."""
-    marks = repeated_windows(df, length, id_col, text_col, crowded).groupBy("key").agg(F.collect_list("start").alias("from"), F.collect_list("n").alias("n"))
-    texts = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.col(text_col).cast("binary").alias("text"))
+    docs = keyed_texts(df, id_col, text_col)
+    dealt = docs.repartition("key")  # one exchange of the texts serves both joins with them
+    marks = repeated_windows(docs, dealt, length, crowded).groupBy("key").agg(F.collect_list("start").alias("from"), F.collect_list("n").alias("n"))
     schema = pa.schema([("key", pa.int64()), *[(k, OUTPUTS[k][1]) for k in outputs]])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,5 +397,36 @@ def dedup(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col:
                         own.append(values[k])
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, type=OUTPUTS[k][1]) for c, k in zip(out, outputs, strict=True)]], schema=schema)
 
-    done = texts.join(marks, "key", "left").select("key", "text", "from", "n").mapInArrow(work, "key long, " + ", ".join(f"{k} {OUTPUTS[k][0]}" for k in outputs))
-    return done.select(F.when(F.col("key") != NO_ID, F.col("key")).alias(id_col), *outputs)
+    done = dealt.join(marks, "key", "left").select("key", "content", "from", "n").mapInArrow(work, "key long, " + ", ".join(f"{k} {OUTPUTS[k][0]}" for k in outputs))
+    return done.select(F.when(F.col("key") > NO_ID, F.col("key")).alias(id_col), *outputs)
+
+
+def without_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
+    """The rows with marked bytes cut out of their texts; characters that a cut splits go too.  Other columns stay.
+
+    Texts without a mark, null ones included, stay as they are.
+    """
+    docs = keyed_texts(df, id_col, text_col)
+    dealt = docs.repartition("key")
+    marks = repeated_windows(docs, dealt, length, crowded).groupBy("key").agg(F.collect_list("start").alias("mark_starts"), F.collect_list("n").alias("mark_counts"))
+    rows = df.select(_key(id_col, text_col).alias("key"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole_row"))
+    joined = rows.join(marks, "key", "left").select("whole_row.*", F.col("mark_starts").alias(_STARTS), F.col("mark_counts").alias(_COUNTS))
+    at = df.columns.index(text_col)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(0, batch.num_rows, 1024):
+                part = batch.slice(row, 1024)
+                texts = []
+                for text, start, n in zip(*(part.column(i).to_pylist() for i in (at, len(df_columns), len(df_columns) + 1)), strict=True):
+                    if start:
+                        data = text.encode()
+                        first, last = spans_of(start, n, length)
+                        text = b"".join(data[a:b] for a, b in zip([0, *last.tolist()], [*first.tolist(), len(data)], strict=True)).decode("utf-8", "ignore")
+                    texts.append(text)
+                columns = [part.column(i) for i in range(len(df_columns))]
+                columns[at] = pa.array(texts, type=columns[at].type)
+                yield pa.RecordBatch.from_arrays(columns, names=df_columns)
+
+    df_columns = list(df.columns)
+    return joined.mapInArrow(work, df.schema)
