@@ -12,15 +12,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder and read back, its lineage cut.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; only where that is unset (tests, a laptop) is a temporary one made."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        spark.sparkContext.setCheckpointDir(folder := tempfile.mkdtemp(prefix="folio-checkpoint-"))
+    return folder
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset (tests, a laptop) is a temporary one made.
-    """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="folio-checkpoint-"))
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back, its lineage cut."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -114,7 +114,16 @@ def ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept."""
-    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return _judged(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), labels).select(F.col("doc_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+
+
+def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that are kept, all columns as they are."""
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole_row"))
+    return _judged(own, labels).filter("kept").select("whole_row.*")
+
+
+def _judged(own: DataFrame, labels: DataFrame) -> DataFrame:
     weights = F.expr("cast(split('" + ",".join(f"{x:.6f}" for x in ratios(own, labels)) + "', ',') as array<double>)")
     forms = F.col("forms")
 
@@ -126,5 +135,4 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     total = F.aggregate(F.transform(forms, of), F.lit(0.0), lambda a, x: a + x)
     df = df.withColumn("score", F.when(F.size(forms) > 0, total / (2 * F.size(forms) - 1)).otherwise(0.0))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")))
-    df = df.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= THRESHOLD))
-    return df.select(F.col("doc_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
+    return df.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= THRESHOLD))

@@ -211,3 +211,22 @@ def groups(df: DataFrame, shingle: int = SHINGLE, reach: int = REACH, id_col: st
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
     classes = named.join(least, "component").select("fp", "component_id")
     return prints.join(classes, "fp").select(F.col("doc_id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(df: DataFrame, shingle: int = SHINGLE, reach: int = REACH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group, the smallest id's, all columns as they are; of rows that repeat an id, one.
+
+    Of a group without ids one row stays.
+    """
+    found = groups(df, shingle, reach, id_col, text_col)
+    named = found.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
+    kept = df.join(named, id_col, "left_semi").dropDuplicates([id_col])
+    # rows without an id stay only where no id names their group, one for each fingerprint
+    nameless = found.filter("component_id is null").select("fingerprint").distinct()
+    null_rows = df.filter(F.col(id_col).isNull())
+    if nameless.isEmpty():
+        return kept
+    texts = null_rows.dropDuplicates([text_col])
+    prints = fingerprints(texts.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t")), shingle, "h", "t")
+    lone = prints.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).join(nameless, "fingerprint", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("h"))
+    return kept.unionByName(texts.withColumn("h", F.xxhash64(text_col)).join(lone, "h", "left_semi").drop("h"))

@@ -225,3 +225,21 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     """id, score, predicted, and the toxic passages as word spans (starts, ends)."""
     found = _evidence(df.select(F.col(id_col), F.col(text_col).alias("text")), model, id_col)
     return found.select(F.col("id").alias(id_col), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "starts", "ends")
+
+
+def without_toxic(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows whose text isn't predicted toxic, all columns as they are."""
+    sent = df.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, cache = sent.value, {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                keep = []
+                for text in part.column(part.schema.get_field_index(text_col)).to_pylist():
+                    words = words_of(text)
+                    keep.append(own.probability(own.evidence(own.segments(words, cache), len(words))) < 0.5)
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return df.mapInArrow(work, df.schema)
