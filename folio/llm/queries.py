@@ -17,6 +17,14 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), outputs=("n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm.language_id import fit, predict
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, docs.filter(fold("doc_id", 4) != 2))
+    return predict(docs, model).select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm.suffix_dedup import dedup
 
@@ -35,6 +43,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm.quality_classifier import fit, score
+
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels").filter(fold("doc_id", 3) != 1))
+    return score(docs, model).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm.toxicity import fit, score
 
@@ -50,5 +66,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_sentencepiece, op4_suffix_dedup, op6_quality_rules, op7_simhash, op9_toxicity, op10_packing)
+    own = (op1_sentencepiece, op3_language_id, op4_suffix_dedup, op6_quality_rules, op7_simhash, op8_quality_classifier, op9_toxicity, op10_packing)
     return {f.__name__: f for f in own}
