@@ -17,6 +17,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), outputs=("n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm.html_extraction import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm.language_id import fit, predict
 
@@ -31,6 +37,12 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from folio.llm.embedding_dedup import groups
+
+    return groups(table(spark, sf_dir, "embeddings"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm.quality_rules import judge
 
@@ -66,5 +78,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_sentencepiece, op3_language_id, op4_suffix_dedup, op6_quality_rules, op7_simhash, op8_quality_classifier, op9_toxicity, op10_packing)
+    own = (op1_sentencepiece, op2_html_extraction, op3_language_id, op4_suffix_dedup, op5_embedding_dedup, op6_quality_rules, op7_simhash, op8_quality_classifier, op9_toxicity, op10_packing)
     return {f.__name__: f for f in own}
