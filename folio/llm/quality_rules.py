@@ -100,7 +100,8 @@ def ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     pairs = marked.select("trusted", F.inline(F.arrays_zip(F.col("forms").alias("own"), F.slice("forms", 2, F.greatest(n, F.lit(1))).alias("next"))))
     grams = pairs.select("trusted", _bucket(F.col("own")).alias("one"), F.when(F.col("next").isNotNull(), _bucket(F.col("own"), F.col("next"))).alias("two"))
     met = grams.groupBy("one", "two").agg(F.count("*").alias("raw"), F.count("trusted").alias("good"))
-    each = met.select(F.col("one").alias("bucket"), "raw", "good").unionByName(met.filter("two is not null").select((F.col("two") + BUCKETS).alias("bucket"), "raw", "good"))
+    both = F.explode(F.array("one", F.col("two") + BUCKETS)).alias("bucket")
+    each = met.select(both, "raw", "good").filter("bucket is not null")
     table = {r.bucket: (r.raw, r.good) for r in each.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).collect()}
     out = []
     for first in (0, BUCKETS):
