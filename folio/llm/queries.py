@@ -80,3 +80,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_sentencepiece, op2_html_extraction, op3_language_id, op4_suffix_dedup, op5_embedding_dedup, op6_quality_rules, op7_simhash, op8_quality_classifier, op9_toxicity, op10_packing)
     return {f.__name__: f for f in own}
+
+
+def oracle_sql() -> dict[str, str]:
+    from folio.llm import sql
+
+    return sql.oracle_sql()
