@@ -4,7 +4,8 @@ from __future__ import annotations
 
 OP4 = """
 with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, length(hex(encode(coalesce(text, '')))) // 2 as n from documents),
-w as (select doc_id, s, md5(substr(h, cast(2 * s + 1 as bigint), 400)) as k from (select doc_id, h, unnest(range(0, greatest(n - 199, 0))) as s from d)),
+x as (select doc_id, n, o, substr(h, cast(2 * o + 1 as bigint), 910) as part from (select doc_id, h, n, unnest(range(0, greatest(n - 199, 0), 256)) as o from d)),
+w as (select doc_id, o + j as s, md5(substr(part, cast(2 * j + 1 as bigint), 400)) as k from (select doc_id, o, part, unnest(range(0, least(256, n - 199 - o))) as j from x)),
 r as (select doc_id, s from w where k in (select k from w group by k having count(*) > 1)),
 i as (select doc_id, s, case when s - lag(s) over (partition by doc_id order by s) <= 200 then 0 else 1 end as opens from r),
 g as (select doc_id, s, sum(opens) over (partition by doc_id order by s) as span from i),
