@@ -225,7 +225,7 @@ def check_key_use(collection: Collection, filters: tuple[P.Predicate, ...]) -> N
     if own and len(clauses) == 1 and not (isinstance(own[0], P.Compare) and own[0].op == "=="):
         raise UnsupportedQuery("a key by itself can only be asked for with ==")
     for c in clauses:
-        if isinstance(c, P.AnyOf) and any(getattr(p, "path", None) == collection.key for p in c.parts) and len(clauses) == 1:
+        if isinstance(c, P.AnyOf) and all(getattr(p, "path", None) == collection.key for p in c.parts) and len(clauses) == 1:
             raise UnsupportedQuery("or over keys alone is not supported")
 
 
