@@ -110,10 +110,17 @@ class Found:
             self.forest.append((i, j))
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
-        np.add.at(self.counts, a, self.weights[b])
-        np.add.at(self.counts, b, self.weights[a])
-        for i, j in zip(a.tolist(), b.tolist(), strict=True):
-            self.connect(i, j)
+        n = len(self.counts)
+        self.counts += np.bincount(a, self.weights[b], n).astype(np.int64) + np.bincount(b, self.weights[a], n).astype(np.int64)
+        while len(a):  # most pairs of a dense group are connected by the time their turn comes
+            for i, j in zip(a[:1000].tolist(), b[:1000].tolist(), strict=True):
+                self.connect(i, j)
+            label = np.array(self.parent)
+            while (label != label[label]).any():
+                label = label[label]
+            self.parent = label.tolist()
+            apart = label[a[1000:]] != label[b[1000:]]
+            a, b = a[1000:][apart], b[1000:][apart]
 
     def add_all(self, a: np.ndarray, b: np.ndarray) -> None:
         """All pairs of one of ``a`` with one of ``b``, which share none."""
