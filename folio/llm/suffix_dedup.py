@@ -341,13 +341,14 @@ def repeated_windows(docs: DataFrame, dealt: DataFrame, length: int = LENGTH, cr
             else:  # a piece of text may hold several of a document's segments
                 taken = places.join(source.selectExpr("key", "base", "content as text"), "key").withColumn("at", F.col("from") - F.col("base")).filter(f"at >= 0 and at + n + {length - 1} <= length(text)")
                 taken = taken.dropDuplicates(["a", "u"])
-            taken = taken.selectExpr("a", "key", "`from`", "c", f"substring(text, cast(at + 1 as int), n + {length - 1}) as content", "contents")
+            # written once: what the index takes and what the next level takes are both read from it
+            taken = checkpointed(taken.selectExpr("a", "key", "`from`", "c", f"substring(text, cast(at + 1 as int), n + {length - 1}) as content", "contents"))
             few = taken.filter(F.col("contents") <= crowded).drop("contents")
             marks = marks.unionByName(few.repartition("a").sortWithinPartitions("a").mapInArrow(indexed(length), MARKS))
         found = marks if found is None else found.unionByName(marks)
         if k == length or groups.filter(F.col("contents") > crowded).isEmpty():
             return found
-        source = checkpointed(taken.filter(F.col("contents") > crowded).selectExpr("key", "`from` as base", "c as weight", "content"))
+        source = taken.filter(F.col("contents") > crowded).selectExpr("key", "`from` as base", "c as weight", "content")
     return found
 
 
@@ -377,7 +378,7 @@ def spans_of(starts: list[int], counts: list[int], length: int) -> tuple[np.ndar
 def dedup(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept_sha256"), crowded: int = CROWDED) -> DataFrame:
     """One row per document: its id, and columns of ``OUTPUTS``: removed spans of bytes, what is kept, or digests of both."""
     docs = keyed_texts(df, id_col, text_col)
-    dealt = docs.repartition("key")  # one exchange of the texts serves both joins with them
+    dealt = docs.repartition("key")
     marks = repeated_windows(docs, dealt, length, crowded).groupBy("key").agg(F.collect_list("start").alias("from"), F.collect_list("n").alias("n"))
     schema = pa.schema([("key", pa.int64()), *[(k, OUTPUTS[k][1]) for k in outputs]])
 
