@@ -106,6 +106,18 @@ def _last(path: Any) -> str:
     return path.split(".")[-1]
 
 
+@dataclass(frozen=True)
+class Cast:
+    """A field as another type, in a select."""
+
+    path: str
+    kind: str
+
+
+def cast(path: str, kind: str) -> Cast:
+    return Cast(path, kind)
+
+
 @dataclass(frozen=True)
 class ChildQuery(Clauses):
     """Children of each parent, in a select or an include."""
@@ -193,6 +205,19 @@ class DocQuery(Clauses):
         parts += [" ".join(x for x in self.aggregate if x)] if self.aggregate else []
         return " | ".join(parts)
 
+    def log(self, level: str = "full", rows: int = 100) -> str:
+        """What a log should say: nothing (none), the query and its number of rows (count), the first keys (ids), or the plan too (full)."""
+        if level == "none":
+            return ""
+        df = self.df()
+        said = f"{self.describe()} | {df.count()} rows"
+        key = self.model[self.name].key
+        if level in ("ids", "full") and key in df.columns:
+            said += f" | {key}: {[r[0] for r in df.select(key).limit(rows).collect()]}"
+        if level == "full":
+            said += "\n" + df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        return said
+
     def explain(self, mode: str = "formatted") -> None:
         self.df().explain(mode)
 
@@ -342,6 +367,8 @@ class Planner:
     def _value(self, scope: Scope, value: Any, name: str) -> Column:
         if isinstance(value, str):
             return scope.column(value)
+        if isinstance(value, Cast):
+            return scope.column(value.path).cast(value.kind)
         if isinstance(value, Mapping):
             return F.struct(*[self._value(scope, v, f"{name}_{i}").alias(n) for i, (n, v) in enumerate(value.items())])
         if isinstance(value, ChildQuery):

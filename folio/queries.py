@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from folio.functions.predicates import field, if_set
 from folio.operators import writes as W
-from folio.operators.query import child
+from folio.operators.query import cast, child
 from folio.tables import MODEL, documents, frames
 
 _found: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
@@ -104,6 +104,7 @@ _doc("min_after_order", "orders", lambda q: q.order_by("o_totalprice", desc=True
 # projections
 _doc("select_fields", "customer", lambda q: q.select("c_custkey", "c_name", "c_acctbal"), "select c_custkey, c_name, c_acctbal from customer")
 _doc("select_rename", "customer", lambda q: q.select(id="c_custkey", label="c_name"), "select c_custkey as id, c_name as label from customer")
+_doc("select_cast", "part", lambda q: q.select("p_partkey", size=cast("p_size", "double")), "select p_partkey, cast(p_size as double) as size from part")
 _doc("select_single_drops_null", "nullable_orders", lambda q: q.select("priority"), "select nullif(o_orderpriority, '5-LOW') as priority from orders where nullif(o_orderpriority, '5-LOW') is not null")
 _doc("select_struct_field", "profile", lambda q: q.select("c_custkey", "account.segment"), "select c_custkey, c_mktsegment as segment from customer")
 _found["select_struct"] = (lambda s, d: documents(s, d, "profile").select("c_custkey", "account").df().select("c_custkey", F.col("account.balance").alias("balance"), F.col("account.segment").alias("segment")), "select c_custkey, c_acctbal as balance, c_mktsegment as segment from customer")

@@ -9,7 +9,7 @@ from folio.errors import AmbiguousResult, EmptyResult, ModelError, UnsupportedQu
 from folio.functions.predicates import field, if_set
 from folio.model import ArrayOf, Collection, MapOf, Model, Reference, SubCollection
 from folio.operators import writes as W
-from folio.operators.query import child, query
+from folio.operators.query import cast, child, query
 from folio.sources.store import ParquetStore
 
 f = field
@@ -173,6 +173,12 @@ def test_describe(world):
     assert said == "book | where (price > 1 and not live) | order by price desc | take 3 | include writer"
 
 
+def test_cast_and_log(world):
+    assert {r.id: r.p for r in world("book").select("id", p=cast("price", "string")).collect()}["a"] == "10.0"
+    q = world("book").where(f("live"))
+    assert q.log("none") == "" and q.log("count").endswith("| 1 rows") and q.log("ids").endswith("id: ['a']") and "Physical Plan" in q.log()
+
+
 def test_model_checks():
     for bad in (
         lambda: Model(Collection("a", "x,y")),
