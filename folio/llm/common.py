@@ -38,8 +38,12 @@ def shuffle_width(spark: SparkSession) -> int:
 def sampled(docs: DataFrame, chosen: DataFrame, rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """At most ``rows`` of the ``chosen`` ids (those of smallest hash; other columns stay) with their texts, written once.
 
-    The broadcast side holds ``rows`` rows at most.  Ids that ``docs`` repeats give a row each.
+    The broadcast side holds ``rows`` rows at most.  An id that ``chosen`` repeats
+    counts once, with its largest values; ids that ``docs`` repeats give a row each.
     """
-    few = chosen.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).orderBy(F.xxhash64(id_col), id_col).limit(rows)
+    others = [F.max(c).alias(c) for c in chosen.columns if c != id_col]
+    named = chosen.filter(F.col(id_col).isNotNull()).select(*chosen.columns)
+    named = named.groupBy(id_col).agg(*others) if others else named.distinct()
+    few = named.orderBy(F.xxhash64(id_col), id_col).limit(rows)
     texts = docs.select(F.col(id_col), F.col(text_col).alias("text"))
     return checkpointed(texts.join(F.broadcast(few), id_col))
