@@ -45,6 +45,15 @@ def _without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
+def _once(column: Column) -> Column:
+    """The column, marked as nondeterministic: the optimiser then never copies it into what uses it.
+
+    A copy inside a lambda, such as a filter on the verdict would make when it is
+    pushed down, would be evaluated anew for each element.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, column)
+
+
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), "")
 
@@ -52,18 +61,18 @@ def words_of(text: Column) -> Column:
 def with_counts(docs: DataFrame) -> DataFrame:
     """(doc_id, text, ...) with words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    df = docs.withColumn("words", words_of(F.col("text"))).withColumn("n_words", F.size("words").cast("long"))
+    df = docs.withColumn("words", _once(words_of(F.col("text")))).withColumn("n_words", F.size("words").cast("long"))
     df = df.withColumn("word_chars", F.length(_without(text, BLANKS)).cast("long"))
     df = df.withColumn("n_symbols", (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long"))
-    df = df.withColumn("lines", F.filter(F.split(text, "\n"), lambda x: _without(x, BLANKS) != ""))
+    df = df.withColumn("lines", _once(F.filter(F.split(text, "\n"), lambda x: _without(x, BLANKS) != "")))
     df = df.withColumn("n_dup_lines", (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")).drop("lines")
     words = F.col("words")
     inner = F.slice(words, 1, F.greatest(F.col("n_words").cast("int") - 2, F.lit(0)))
-    df = df.withColumn("windows", F.transform(inner, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))))
+    df = df.withColumn("windows", _once(F.transform(inner, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))))
     # what a lambda looks up by place has to be a column, or it would be made anew for each element
     ranked = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    df = df.withColumn("ranked", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), ranked))
-    df = df.withColumn("places", _repeated_places(F.col("ranked")))
+    df = df.withColumn("ranked", _once(F.when(F.size(F.array_distinct("windows")) < F.size("windows"), ranked)))
+    df = df.withColumn("places", _once(_repeated_places(F.col("ranked"))))
     places = F.col("places")
     reach = F.transform(places, lambda p, k: F.least(F.lit(3), F.coalesce(F.get(places, k + 1) - p, F.lit(3))))
     df = df.withColumn("n_repeat_words", F.coalesce(F.aggregate(reach, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0)).cast("long"))
@@ -132,7 +141,7 @@ def _judged(own: DataFrame, labels: DataFrame) -> DataFrame:
         follow = F.get(forms, i + 1)
         return F.get(weights, _bucket(f)) + F.when(follow.isNotNull(), F.get(weights, F.lit(BUCKETS) + _bucket(f, follow))).otherwise(0.0)
 
-    df = with_counts(own).withColumn("forms", forms_of(F.col("text")))
+    df = with_counts(own).withColumn("forms", _once(forms_of(F.col("text"))))
     total = F.aggregate(F.transform(forms, of), F.lit(0.0), lambda a, x: a + x)
     df = df.withColumn("score", F.when(F.size(forms) > 0, total / (2 * F.size(forms) - 1)).otherwise(0.0))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")))
