@@ -2,16 +2,19 @@
 
 A token's index vector is a sparse ternary vector drawn by its hash.  A frequent
 token's word vector adds up the index vectors of its neighbours in the training
-texts (a quarter of them is read for this); any other token has its index vector alone.  A text pools its tokens'
-vectors by their mean, with the shares of stuttered and of different words and
-the length beside.  A network of two layers, in numpy, gives a logit;
+texts (a quarter of them is read for this); any other token has its index vector
+alone, at the same length.  A text pools its tokens' vectors and, once more, its
+forms' index vectors by their mean, with the shares of stuttered and of
+different words and the length beside.  A network of two layers, in numpy, gives a logit;
 a temperature fitted on texts that it wasn't trained on makes it a probability.
 
 Tokens of a word are its letters in lower case and its form (letters and digits
 by kind, runs reduced to one).
 
-Learned from ``TRAIN_ROWS`` labelled texts at most, equal texts once; vectors of
-``MODEL_TOKENS`` tokens at most are kept.  Pooling runs over whole texts.
+Learned from ``TRAIN_ROWS`` labelled texts at most, equal texts once.  Context
+vectors of ``MODEL_TOKENS`` tokens at most are kept, letters and forms together,
+those met in most texts; the index vectors of all others need no table.  Pooling
+runs over whole texts, and every word of them counts.
 
 Defined cases: null and empty texts pool to zero and get the network's answer to
 that; without a label of each kind every text scores 0.5; repeated rows score
@@ -22,7 +25,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,7 +37,7 @@ from folio.llm.common import sampled
 
 #: Labelled texts that are learned from, at most.
 TRAIN_ROWS = 6_000
-#: Tokens whose context is kept, those met in most texts.
+#: Tokens whose context is kept, those met in most texts; others have their index vectors.
 MODEL_TOKENS = 4_000
 WIDTH = 96
 NONZERO = 6
@@ -45,16 +48,25 @@ CACHED_WORDS = 200_000
 _LETTER = re.compile(r"[^\W\d_]+")
 
 
-def index_vector(token: str) -> np.ndarray:
-    """Sparse ternary vector that the token's hash draws."""
+def index_vectors(tokens: list[str]) -> np.ndarray:
+    """Sparse ternary vectors, a row each, that the tokens' hashes draw."""
     from xxhash import xxh64_intdigest
 
-    out, h = np.zeros(WIDTH, dtype=np.float32), xxh64_intdigest(token, 7)
+    out, rows = np.zeros((len(tokens), WIDTH), dtype=np.float32), np.arange(len(tokens))
+    h = np.array([xxh64_intdigest(t, 7) for t in tokens], dtype=np.uint64)
     for i in range(NONZERO):
-        out[(h >> (8 * i)) % WIDTH] += 1 if h >> (56 + i) & 1 else -1
+        out[rows, (h >> np.uint64(8 * i)) % np.uint64(WIDTH)] += np.where(h >> np.uint64(56 + i) & np.uint64(1), np.float32(1), np.float32(-1))
     return out
 
 
+def index_vector(token: str) -> np.ndarray:
+    return index_vectors([token])[0]
+
+
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    return vectors / np.maximum(np.linalg.norm(vectors, axis=-1, keepdims=True), 1e-6)
+
+
 class _Kinds(dict):
     """Kind of each character, found out once."""
 
@@ -86,33 +98,46 @@ class Model:
     layers: list[np.ndarray] = field(default_factory=list)
     temperature: float = 1.0
 
-    def of_word(self, word: str) -> np.ndarray:
-        """Context part and index part of a word's tokens."""
-        out = np.zeros(2 * WIDTH, dtype=np.float32)
-        for token in tokens_of(word):
-            known = self.contexts.get(token)
+    def of_form(self, form: str) -> np.ndarray:
+        """Word vector and index vector of a form's token."""
+        index = index_vector(form)
+        known = self.contexts.get(form)
+        return np.concatenate([_unit(index) if known is None else known, index])
+
+    def of_words(self, words: list[str], forms: dict[str, np.ndarray]) -> np.ndarray:
+        """A row for each word: the sum of its tokens' word vectors, and its form's index vector; ``forms`` caches."""
+        out = np.empty((len(words), 2 * WIDTH), dtype=np.float32)
+        unknown, tokens = [], []
+        for i, word in enumerate(words):
+            letters, form = tokens_of(word)
+            own = forms.get(form)
+            if own is None:
+                if len(forms) >= CACHED_WORDS // 10:
+                    forms.clear()
+                forms[form] = own = self.of_form(form)
+            out[i] = own
+            known = self.contexts.get(letters)
             if known is not None:
-                out[:WIDTH] += known
-            if token[0] == "~":
-                out[WIDTH:] += index_vector(token)
+                out[i, :WIDTH] += known
+            else:  # drawn together below
+                unknown.append(i)
+                tokens.append(letters)
+        if tokens:
+            out[unknown, :WIDTH] += _unit(index_vectors(tokens))
         return out
 
-    def pool(self, text: str | None, cache: dict[str, np.ndarray]) -> np.ndarray:
+    def of_word(self, word: str) -> np.ndarray:
+        return self.of_words([word], {})[0]
+
+    def pool(self, text: str | None, cache: Cache) -> np.ndarray:
         words = text.split() if text else []
         out = np.zeros(2 * WIDTH + 3)
         if not words:
             return out
         counts = Counter(words)
-        rows = []
-        for word in counts:
-            own = cache.get(word)
-            if own is None:
-                if len(cache) >= CACHED_WORDS:
-                    cache.clear()
-                cache[word] = own = self.of_word(word)
-            rows.append(own)
+        rows = cache.rows(self, counts)
         times = np.fromiter(counts.values(), dtype=np.float32, count=len(counts))
-        out[: 2 * WIDTH] = times @ np.array(rows) / len(words)
+        out[: 2 * WIDTH] = times @ rows / len(words)
         out[2 * WIDTH] = sum(map(str.__eq__, words[1:], words)) / len(words)
         out[2 * WIDTH + 1] = len(counts) / len(words)
         out[2 * WIDTH + 2] = np.log1p(len(words)) / 10
@@ -128,6 +153,29 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(pooled) / self.temperature, -40, 40)))
 
 
+class Cache:
+    """Vectors of words and of forms that a task has met; emptied when full."""
+
+    def __init__(self) -> None:
+        self.at: dict[str, int] = {}
+        self.forms: dict[str, np.ndarray] = {}
+        self.table = np.empty((1024, 2 * WIDTH), dtype=np.float32)
+
+    def rows(self, model: Model, words: Iterable[str]) -> np.ndarray:
+        """A row for each of the words, which are different."""
+        new = [w for w in words if w not in self.at]
+        if self.at and len(self.at) + len(new) > CACHED_WORDS:
+            self.at.clear()
+            new = list(words)
+        if new:
+            n = len(self.at)
+            if n + len(new) > len(self.table):
+                self.table = np.concatenate([self.table[:n], np.empty((n + 2 * len(new), 2 * WIDTH), dtype=np.float32)])
+            self.table[n : n + len(new)] = model.of_words(new, self.forms)
+            self.at.update(zip(new, range(n, n + len(new)), strict=True))
+        return self.table[[self.at[w] for w in words]]
+
+
 def _contexts(sample: DataFrame) -> DataFrame:
     """token, texts that have it, and the sum of its neighbours' index vectors."""
     schema = pa.schema([("token", pa.string()), ("texts", pa.int64()), ("context", pa.list_(pa.float32()))])
@@ -201,7 +249,7 @@ def _pooled(df: DataFrame, model: Model, columns: str) -> DataFrame:
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, cache = sent.value, {}
+        own, cache = sent.value, Cache()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -239,7 +287,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     schema = pa.schema([(id_col, pa.int64()), ("score", pa.float64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, cache = sent.value, {}
+        own, cache = sent.value, Cache()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)

@@ -52,3 +52,22 @@ def test_nothing_to_learn_from(spark):
     model = Q.fit(df, spark.createDataFrame([], "doc_id long, quality int"))
     assert [(r.score, r.predicted) for r in Q.score(df, model).collect()] == [(0.5, 1)]
     assert Q.score(df.limit(0), model).collect() == []
+
+
+def test_every_token_has_a_vector():
+    known = np.full(Q.WIDTH, 0.5, dtype=np.float32)
+    model = Q.Model({"=one": known, "~A": known})
+    def unit(token):
+        v = Q.index_vector(token)
+        return v / np.linalg.norm(v)
+    half = slice(None, Q.WIDTH)
+    assert np.allclose(model.of_word("two")[half], unit("=two") + unit("~a"), atol=1e-6)
+    assert np.allclose(model.of_word("one")[half], known + unit("~a"), atol=1e-6)
+    assert np.allclose(model.of_word("TWO")[half], unit("=two") + known, atol=1e-6)
+    for word in ("one", "two", "TWO"):
+        assert np.array_equal(model.of_word(word)[Q.WIDTH :], Q.index_vector("~" + Q.form_of(word)))
+    # texts that differ in nothing but a word outside the table pool differently, cached or not
+    cache = Q.Cache()
+    pooled = [model.pool(t, cache) for t in ("one two", "one six", "one two")]
+    assert not np.allclose(pooled[0], pooled[1]) and np.array_equal(pooled[0], pooled[2])
+    assert np.array_equal(pooled[1], model.pool("one six", Q.Cache()))
