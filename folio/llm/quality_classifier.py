@@ -2,7 +2,7 @@
 
 A token's index vector is a sparse ternary vector drawn by its hash.  A frequent
 token's word vector adds up the index vectors of its neighbours in the training
-texts (a quarter of them is read for this); any other token has its index vector
+texts; any other token has its index vector
 alone, at the same length.  A text pools its tokens' vectors and, once more, its
 forms' index vectors by their mean, with the shares of stuttered and of
 different words and the length beside.  A network of two layers, in numpy, gives a logit;
@@ -176,34 +176,43 @@ class Cache:
         return self.table[[self.at[w] for w in words]]
 
 
-def _contexts(sample: DataFrame) -> DataFrame:
-    """token, texts that have it, and the sum of its neighbours' index vectors."""
-    schema = pa.schema([("token", pa.string()), ("texts", pa.int64()), ("context", pa.list_(pa.float32()))])
+def _frequent(sample: DataFrame) -> list[str]:
+    """The ``MODEL_TOKENS`` tokens met in most texts; letters count from two texts on."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drawn: dict[str, np.ndarray] = {}
         for batch in batches:
             texts: Counter = Counter()
+            for text in batch.column(0).to_pylist():
+                texts.update({t for w in set((text or "").split()) for t in tokens_of(w)})
+            yield pa.RecordBatch.from_arrays([pa.array(list(texts), pa.string()), pa.array(list(texts.values()), pa.int64())], names=["token", "texts"])
+
+    met = sample.select("text").mapInArrow(work, "token string, texts long").groupBy("token").agg(F.sum("texts").alias("texts"))
+    most = met.filter("texts > 1 or token like '~%'").orderBy(F.desc("texts"), "token").limit(MODEL_TOKENS)
+    return [r.token for r in most.collect()]
+
+
+def _contexts(sample: DataFrame) -> DataFrame:
+    """token and the sum of its neighbours' index vectors, for the frequent ones."""
+    kept = sample.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(_frequent(sample))})
+    schema = pa.schema([("token", pa.string()), ("context", pa.list_(pa.float32()))])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = kept.value
+        for batch in batches:
             pairs: Counter = Counter()
             for text in batch.column(0).to_pylist():
-                words = (text or "").split()
-                forms = [tokens_of(w) for w in words]
-                texts.update({t for own in forms for t in own})
-                pairs.update((t, x[1]) for left, x in zip(forms, forms[1:], strict=False) for t in left)
-                pairs.update((t, left[1]) for left, x in zip(forms, forms[1:], strict=False) for t in x)
-            own = {t for t, n in texts.items() if n > 1 or t[0] == "~"}
-            sums = {t: np.zeros(WIDTH, dtype=np.float32) for t in own}
-            for (token, near), n in pairs.items():
-                if token in own:
-                    if near not in drawn:
-                        drawn[near] = index_vector(near)
-                    sums[token] += n * drawn[near]
-            keys = list(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([texts[k] for k in keys], pa.int64()), pa.array([sums[k] for k in keys], pa.list_(pa.float32()))], schema=schema)
-
-    rows = sample.select("text").mapInArrow(work, "token string, texts long, context array<float>")
-    summed = rows.groupBy("token").agg(F.sum("texts").alias("texts"), *[F.sum(F.get("context", F.lit(i))).alias(f"x{i}") for i in range(WIDTH)])
-    return summed.orderBy(F.desc("texts"), "token").limit(MODEL_TOKENS)
+                forms = [tokens_of(w) for w in (text or "").split()]
+                pairs.update((t, x[1]) for left, x in zip(forms, forms[1:], strict=False) for t in left if t in places)
+                pairs.update((t, left[1]) for left, x in zip(forms, forms[1:], strict=False) for t in x if t in places)
+            tokens, near = list(dict.fromkeys(t for t, _ in pairs)), list(dict.fromkeys(x for _, x in pairs))
+            drawn = dict(zip(near, index_vectors(near), strict=True))
+            sums = {t: np.zeros(WIDTH, dtype=np.float32) for t in tokens}
+            for (token, x), n in pairs.items():
+                sums[token] += n * drawn[x]
+            yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.string()), pa.array(list(sums.values()), pa.list_(pa.float32()))], schema=schema)
+
+    rows = sample.select("text").mapInArrow(work, "token string, context array<float>")
+    return rows.groupBy("token").agg(*[F.sum(F.get("context", F.lit(i))).alias(f"x{i}") for i in range(WIDTH)])
 
 
 def _train(x: np.ndarray, y: np.ndarray, seed: int = 5) -> list[np.ndarray]:
@@ -265,8 +274,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     sample = sampled(docs, chosen, rows, id_col, text_col)
     sample = sample.groupBy(F.xxhash64("text").alias("h")).agg(F.max("y").alias("y"), F.first("text").alias("text"))
     model = Model()
-    for r in _contexts(sample.filter("pmod(h, 4) = 1")).collect():  # MODEL_TOKENS rows at most
-        vector = np.array(r[2:], dtype=np.float32)
+    for r in _contexts(sample.filter("pmod(h, 4) <> 0")).collect():  # MODEL_TOKENS rows at most
+        vector = np.array(r[1:], dtype=np.float32)
         model.contexts[r.token] = vector / max(float(np.linalg.norm(vector)), 1e-6)
     found = _pooled(sample.select("h", "y", "text"), model, "h long, y long").orderBy("h").collect()  # ``rows`` at most
     y = np.array([r.y for r in found], dtype=np.float64)

@@ -71,3 +71,26 @@ def test_every_token_has_a_vector():
     pooled = [model.pool(t, cache) for t in ("one two", "one six", "one two")]
     assert not np.allclose(pooled[0], pooled[1]) and np.array_equal(pooled[0], pooled[2])
     assert np.array_equal(pooled[1], model.pool("one six", Q.Cache()))
+
+
+def test_contexts_are_of_all_texts_however_dealt(spark):
+    texts = [f"rare w{i}x{i % 7}y" for i in range(12)] + ["once only", None, ""]
+    sample = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = []
+    for n in (1, 12):
+        found.append({r.token: list(r)[1:] for r in Q._contexts(sample.repartition(n)).collect()})
+    assert found[0] == found[1]
+    assert "=rare" in found[1] and "=once" not in found[1]  # one text in each of many batches, and one in all
+    near = sum(Q.index_vector("~" + Q.form_of(t.split()[1])) for t in texts[:12])
+    assert found[1]["=rare"] == near.tolist()
+
+
+def test_contexts_read_every_training_text(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    seen = []
+    monkeypatch.setattr(Q, "_contexts", lambda sample, f=Q._contexts: seen.append(sample.count()) or f(sample))
+    rows = corpus()
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    Q.fit(df, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int"))
+    assert seen == [df.select("text").distinct().filter(F.pmod(F.xxhash64("text"), F.lit(4)) != 0).count()]
