@@ -61,3 +61,18 @@ def test_nothing_to_learn_from(spark):
     model = T.fit(df, spark.createDataFrame([], "doc_id long, toxic int"))
     assert [r.score for r in T.score(df, model).collect()] == [0.0]
     assert T.score(df.limit(0), model).collect() == []
+
+
+def test_every_passage_is_evidence():
+    model = T.Model(location=1.0, scale=1.0)
+    n, strong = 5000, [(0, 1, 16.0)]
+    found = [model.evidence(strong * k, n) for k in range(30)]
+    assert found[0] == 0 and all(a < b for a, b in zip(found, found[1:]))
+    # segments of ordinary text, as many and as strong as chance gives, add pi^2 / 6 on average whatever the length
+    rng = np.random.default_rng(3)
+    for n in (100, 10_000):
+        sums = []
+        for _ in range(2000):
+            rates = np.cumsum(rng.exponential(size=40))
+            sums.append(np.expm1(model.evidence([(0, 1, 1.0 + np.log(n) - np.log(r)) for r in rates], n)))
+        assert abs(np.mean(sums) - np.pi**2 / 6) < 0.15
