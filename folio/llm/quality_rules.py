@@ -7,8 +7,8 @@ target, texts labelled good, and that of the whole raw corpus.  A text's score
 is its log-likelihood ratio divided by its number of n-grams; a text is kept if
 the score reaches ``THRESHOLD``, a fixed number, so equal texts fare alike.
 
-The trusted texts are ``TRUSTED_ROWS`` labelled ones at most; raw counts cover
-every row.  What is collected is one ratio for each of ``2 * BUCKETS`` buckets.
+The trusted texts are all that are labelled good; raw counts cover every row.
+What is collected is one ratio for each of ``2 * BUCKETS`` buckets.
 
 Defined cases: a null, empty or blank text has no words, and so fails (fewer
 than 50 words); without trusted texts all ratios are 0 and the base rules alone
@@ -23,8 +23,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled good texts that make up the trusted target, at most.
-TRUSTED_ROWS = 20_000
 #: Buckets that n-grams of one length are hashed into.
 BUCKETS = 4_096
 #: Least log-likelihood ratio for each n-gram.
@@ -95,16 +93,16 @@ def _bucket(*parts: Column) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int")
 
 
-def trusted_ids(labels: DataFrame, rows: int = TRUSTED_ROWS) -> DataFrame:
-    """Ids of the labelled good texts that count, those of smallest hash."""
-    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of the labelled good texts, each once."""
+    return labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
 def ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     """log of trusted over raw probability of each unigram bucket, then of each bigram bucket; counts start at one."""
-    few = F.broadcast(trusted_ids(labels).withColumn("trusted", F.lit(1)))  # TRUSTED_ROWS rows at most
-    marked = docs.select("doc_id", forms_of(F.col("text")).alias("forms")).join(few, "doc_id", "left")
+    good = trusted_ids(labels).withColumn("trusted", F.lit(1))
+    # texts, not their words, go through the join: they are smaller; the labels grow with the table, so are never broadcast
+    marked = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left").select("trusted", _once(forms_of(F.col("text"))).alias("forms"))
     n = F.size("forms")
     pairs = marked.select("trusted", F.inline(F.arrays_zip(F.col("forms").alias("own"), F.slice("forms", 2, F.greatest(n, F.lit(1))).alias("next"))))
     grams = pairs.select("trusted", _bucket(F.col("own")).alias("one"), F.when(F.col("next").isNotNull(), _bucket(F.col("own"), F.col("next"))).alias("two"))

@@ -53,3 +53,12 @@ def test_verdict(spark):
 
 def test_empty(spark):
     assert Q.judge(spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, quality int")).collect() == []
+
+
+def test_every_good_label_counts(spark):
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(["ab", "Cd", "e.", "9f", "g%"]) for _ in range(30))) for i in range(80)] + [(None, "x y"), (7, "Q r")], "doc_id long, text string")
+    own = spark.range(80).selectExpr("id as doc_id", "1 as quality").filter("doc_id % 2 = 0")
+    others = spark.range(1000, 61_000).selectExpr("id as doc_id", "1 as quality")  # good ones that docs hasn't
+    assert Q.ratios(docs, own.union(others).union(own)) == Q.ratios(docs, own)
+    assert any(Q.ratios(docs, own))
