@@ -7,7 +7,8 @@ has the largest sum; its score is the winner's share in the softmax of the sums
 for each word.
 
 Learned from ``TRAIN_ROWS`` texts with a language at most, dealt evenly over the
-languages; the tables keep the ``MODEL_WORDS`` words met in most texts and the
+``MODEL_LANGUAGES`` languages with most texts: each gets an equal number, a rarer
+one all that it has, and the rest are not told apart.  The tables keep the ``MODEL_WORDS`` words met in most texts and the
 ``MODEL_GRAMS`` n-grams met most in different words.  Sums run over whole texts.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
@@ -25,7 +26,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm.common import checkpointed, sampled
@@ -132,17 +133,19 @@ def _gram_counts(words: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, teaching: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> Model:
     """Learn from the ``teaching`` rows (id and language) of ``docs``; null languages and ids aren't used."""
-    known = teaching.filter(F.col(lang_col).isNotNull()).select(id_col, F.col(lang_col).alias("lang"))
+    known = teaching.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.col(lang_col).alias("lang"))
     most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MODEL_LANGUAGES).collect()
     languages = sorted(r.lang for r in most)
     if not languages:
         return Model()
     each = max(1, rows // len(languages))
-    # the share of each language's rows that gives ``each`` of them, twice over for chance; the limit holds the bound
+    # the share of each language's rows that gives ``each`` of them, twice over for chance; then exactly ``each`` at most
     share = {r.lang: min(1.0, 2 * each / r["count"]) for r in most}
     limit = F.element_at(F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(int(v * 2**20)))]), F.col("lang"))
     even = known.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit("lang")), F.lit(2**20)) < limit)
-    sample = sampled(docs.select(id_col, F.col(text_col).alias("text")), even, rows, id_col)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(id_col), id_col))
+    even = even.groupBy(id_col).agg(F.max("lang").alias("lang")).withColumn("place", place).filter(F.col("place") <= each).drop("place")
+    sample = sampled(docs.select(id_col, F.col(text_col).alias("text")), even, max(rows, len(languages)), id_col)
     words = checkpointed(_word_counts(sample))
     model = Model(languages)
     for counts, rank, least, table, size in ((words, "texts", 2, model.words, MODEL_WORDS), (_gram_counts(words), "n", 1, model.grams, MODEL_GRAMS)):

@@ -43,3 +43,16 @@ def test_nothing_to_learn_from(spark):
     model = L.fit(df, df)
     assert [(r.lang_pred, r.score) for r in L.predict(df, model).collect()] == [("und", 0.0)]
     assert L.predict(df.limit(0), model).collect() == []
+
+
+def test_rare_languages_keep_their_rows(spark, monkeypatch):
+    rows = [(i, "der und" if i % 2 else "the and", "bb" if i % 2 else "aa") for i in range(2000)] + [(5000 + i, "que", "rr") for i in range(10)] + [(None, "que", "rr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = {}
+    def spy(*a, f=L.sampled):
+        out = f(*a)
+        seen.update({r.lang: r["count"] for r in out.groupBy("lang").count().collect()})
+        return out
+    monkeypatch.setattr(L, "sampled", spy)
+    L.fit(df, df.union(df.limit(50)), rows=40)
+    assert seen == {"aa": 13, "bb": 13, "rr": 10}
