@@ -7,6 +7,9 @@ adverts, forms and comments are never text).  Short or middling blocks stay
 undecided.  The second pass gives each of those the label of its nearest decided
 neighbour on either side within the same part of the page; an article element,
 where there is one, is such a part and decides for blocks without a neighbour.
+Articles decide for what is outside them only if they hold most of the page's
+running text, and a compound name (``no-sidebar``) rejects its element only if
+that encloses less than most of it.
 
 Defined cases: null and empty pages give an empty text; unclosed tags end with
 their container; references are decoded, white space in a block becomes one
@@ -18,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from html import unescape
 
 import pyarrow as pa
@@ -67,11 +70,22 @@ class Block:
     heading: bool = False
     text: str = ""
     label: str = ""
+    named: tuple[int, ...] = ()
 
 
-def blocks_of(html: str) -> list[Block]:
+def _boilerplate_names(values: list[tuple[str, ...]], names: frozenset[str]) -> tuple[bool, bool]:
+    """Whether a value names boilerplate: by a word of its own, or at least as a part of a compound."""
+    whole = part = False
+    for value in "\n".join(map("".join, values)).lower().split():
+        words = {w for w in re.split(r"[^a-z]+", value) if w}
+        whole, part = whole or bool(words) and words <= names, part or bool(words & names)
+    return whole, part
+
+
+def blocks_of(html: str, pardoned: frozenset[int] = frozenset()) -> list[Block]:
+    """``pardoned``: places of start tags whose compound names don't reject."""
     found: list[Block] = []
-    open_tags: list[tuple[str, bool, int]] = []  # name, whether boilerplate from here on, region
+    open_tags: list[tuple[str, bool, int, tuple[int, ...]]] = []  # name, whether boilerplate from here on, region, places of compound names
     region, regions, in_link, skipping, heading = 0, 0, 0, "", False
     block = Block()
     at = 0
@@ -81,7 +95,7 @@ def blocks_of(html: str) -> list[Block]:
         block.text = " ".join(unescape("".join(block.parts)).split())
         if block.text:
             found.append(block)
-        block = Block(boilerplate=bool(open_tags) and open_tags[-1][1], region=open_tags[-1][2] if open_tags else 0, heading=heading)
+        block = Block(boilerplate=bool(open_tags) and open_tags[-1][1], region=open_tags[-1][2] if open_tags else 0, heading=heading, named=open_tags[-1][3] if open_tags else ())
 
     def add(text: str) -> None:
         block.parts.append(text)
@@ -117,14 +131,18 @@ def blocks_of(html: str) -> list[Block]:
                 if depth is not None:
                     del open_tags[depth:]
             else:
-                bad, own = open_tags[-1][1:] if open_tags else (False, 0)
-                words = {w for v in _NAMES.findall(m[2]) for w in re.split(r"[^a-z]+", "".join(v).lower())}
-                names = BOILERPLATE if not own else BOILERPLATE - HEADERS
-                bad = bad or name in NEVER_TEXT or (name == "header" and not own) or bool(words & names) or bool(_HIDDEN.search(m[2]))
+                bad, own, named = open_tags[-1][1:] if open_tags else (False, 0, ())
+                whole, part = _boilerplate_names(_NAMES.findall(m[2]), BOILERPLATE if not own else BOILERPLATE - HEADERS)
+                hard = name in NEVER_TEXT or (name == "header" and not own) or whole or bool(_HIDDEN.search(m[2]))
+                if part and not hard and not bad and m.start() not in pardoned:
+                    named = (*named, m.start())
+                bad = bad or hard or (part and m.start() not in pardoned)
+                if hard:
+                    named = ()
                 if name in ("article", "main") and not bad and not own:
                     regions += 1
                     own = regions
-                open_tags.append((name, bad, own))
+                open_tags.append((name, bad, own, named))
         if name in BLOCK_TAGS:
             heading = not closing and len(name) == 2 and name[0] == "h" and name != "hr"
             end()
@@ -159,7 +177,8 @@ def _first_pass(block: Block) -> str:
 def classify(blocks: list[Block]) -> list[Block]:
     """Labels good and bad."""
     first = [_first_pass(b) for b in blocks]
-    articles = any(b.region for b in blocks)
+    running = [(len(b.text), b.region) for b, x in zip(blocks, first, strict=True) if x in ("good", "near")]
+    articles = any(b.region for b in blocks) and 2 * sum(n for n, region in running if region) >= sum(n for n, _ in running)
 
     def nearest(i: int, step: int) -> tuple[str, int]:
         j = i + step
@@ -189,8 +208,26 @@ def classify(blocks: list[Block]) -> list[Block]:
     return blocks
 
 
+def _whole_page(html: str) -> list[Block]:
+    """The page's blocks, compound names pardoned where they enclose most of its running text."""
+    pardoned: frozenset[int] = frozenset()
+    while True:
+        blocks, inside, total = blocks_of(html, pardoned), {}, 0
+        if not any(b.named for b in blocks):
+            return blocks
+        for b in blocks:
+            if (b.named or not b.boilerplate) and _first_pass(replace(b, boilerplate=False)) in ("good", "near"):
+                total += len(b.text)
+                for place in b.named:
+                    inside[place] = inside.get(place, 0) + len(b.text)
+        most = frozenset(place for place, n in inside.items() if 2 * n > total) - pardoned
+        if not most:
+            return blocks
+        pardoned |= most
+
+
 def main_text(html: str | None) -> str:
-    return "\n\n".join(b.text for b in classify(blocks_of(html)) if b.label == "good") if html else ""
+    return "\n\n".join(b.text for b in classify(_whole_page(html)) if b.label == "good") if html else ""
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -44,3 +44,19 @@ def test_tables(spark):
     df = spark.createDataFrame([(1, "u", "<p>x</p>", "t"), (2, None, None, "t"), (2, None, None, "t")], "page_id long, url string, html string, text string")
     assert [(r.page_id, r.url, r.text, r.n_chars) for r in H.extract(df).orderBy("page_id").collect()] == [(1, "u", "", 0), (2, None, "", 0), (2, None, "", 0)]
     assert H.extract(df.limit(0)).collect() == []
+
+
+def test_wrappers_of_most_of_the_text():
+    text = f"<p>{PROSE} {OTHER}</p><p>{OTHER} {PROSE}</p>"
+    want = f"{PROSE} {OTHER}\n\n{OTHER} {PROSE}"
+    for start, end in (("<div class='content no-sidebar'>", "</div>"), ("<main class='has-sidebar'>", "</main>"), ("<article class='post no-comments'>", "</article>")):
+        assert H.main_text(f"<html><body><nav>Menu</nav>{start}{text}{end}</body></html>") == want
+    # what is named inside a pardoned wrapper stays out, and so do compounds that enclose little
+    assert H.main_text(f"<div class='no-sidebar'>{text}<div class='comments'><p>{OTHER} {PROSE} {OTHER} {PROSE} {OTHER} {PROSE} {OTHER}</p></div></div>") == want
+    assert H.main_text(f"<div>{text}</div><div class='post-comments'><p>{PROSE} {OTHER}</p></div>") == want
+
+
+def test_teaser_card_is_not_the_page():
+    text = f"<p>{PROSE} {OTHER}</p><p>{OTHER} {PROSE}</p><p>{PROSE} {OTHER}</p>"
+    got = H.main_text(f"<html><body><div>{text}</div><article><p>A card of few words.</p></article></body></html>")
+    assert f"{PROSE} {OTHER}\n\n{OTHER} {PROSE}\n\n{PROSE} {OTHER}" in got
