@@ -74,7 +74,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from folio.llm.packing import pack
 
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -76,3 +76,28 @@ def test_pack(spark):
 
 def test_empty_table(spark):
     assert K.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_special_tokens_as_the_library_reads_them(spark):
+    own = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "plain", "<|endoftext", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in K.pack(df, PATH, with_ids=True, special=True).collect():
+        assert list(r.ids) == own.encode(texts[r.doc_id] or "", add_special_tokens=False).ids + [2]
+    assert own.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+
+
+def test_repeated_and_null_ids_spread(spark):
+    rows = [(None, f"text {i}", "x") for i in range(200)] + [(7, "same", None)] * 200 + [(8, f"other {i}", "y") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, deal string").coalesce(1)
+    found = K.pack(df, PATH, group=30).collect()
+    assert len(found) == 600
+    for ids in (None, 7, 8):
+        groups = [r.sequence_id >> 32 for r in found if r.doc_id == ids]
+        assert len(groups) == 200 and max(map(groups.count, groups)) < 40
+    places = {}
+    for r in found:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for own in places.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))]
