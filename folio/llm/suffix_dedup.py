@@ -6,7 +6,7 @@ window that also starts anywhere else (same document included) is marked.
 1. Anchors.  Each window picks the smallest of its hashed k-grams (leftmost on
    ties), so equal windows pick equal k-grams at equal places.  Consecutive
    windows with one pick form a segment; two equal windows are always in
-   segments with equal anchors.  Segments are counted by (anchor, content):
+   segments with equal anchors.  Segments are counted by the digests of their contents:
    alone under their anchor, they hold no repeat; with a content seen twice,
    they repeat whole.  What is left, one copy of each content, goes on.
 2. Index.  The contents under an anchor are gathered and, for a bounded chunk of
@@ -23,11 +23,13 @@ Shuffled are anchors (one per some 80 bytes), contents that are neither alone
 nor copies, and each text once.  No step pairs documents or segments.
 
 Defined cases: a null text is empty; nothing is marked in texts under ``length``
-bytes; repeated rows are documents of their own, so long ones lose all bytes; an
-id stands for one text (rows with one id and different texts share their marks;
-rows without an id don't); ids up to -2**62 are read as none; an empty table gives
-an empty result; other columns are ignored by ``dedup`` and kept by
+bytes; repeated rows are documents of their own, so long ones lose all bytes;
+rows that share an id, or have none, are documents of their own too; an empty
+table gives an empty result; other columns are ignored by ``dedup`` and kept by
 ``without_repeats``.
+
+Contents are equal if their 128-bit digests are, and matches in the index are
+compared byte by byte.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.common import checkpointed
@@ -54,8 +56,6 @@ CHUNK = 1 << 19
 #: Anchors that a task sums up before it sends them.
 SUMMED = 400_000
 
-#: Keys of rows without an id are hashes of their texts, below any id that a table may use.
-NO_ID = -(2**62)
 #: Names of passing columns that no table is expected to have.
 _STARTS, _COUNTS = "__repeat_starts__", "__repeat_counts__"
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -109,20 +109,33 @@ def _sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(tail[: n - w + 1], head[w - 1 : n])
 
 
+#: Bits of a place in a slice; hashes of k-grams are compared by the others, the same ones in all slices.
+PLACE_BITS = 23
+
+
 def segments(texts: list[bytes], length: int, k: int) -> tuple[np.ndarray, ...]:
-    """Anchor, content hash, text number, start and number of windows of every segment of the texts, hashed together."""
+    """Anchor, content digest (two halves), text number, start and number of windows of every segment of the texts, hashed together.
+
+    The digest is XXH3's of 128 bits over the content's bytes, so equal contents
+    don't rest on the rolling hash that picks the anchors.
+    """
+    from xxhash import xxh3_128_digest
+
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    whole = b"".join(texts)
+    data = np.frombuffer(whole, dtype=np.uint8)
     n = len(data)
     if n < length or not (sizes >= length).any():
         empty = np.zeros(0, dtype=np.int64)
-        return empty.astype(np.uint64), empty.astype(np.uint64), empty, empty, empty
+        return empty.astype(np.uint64), empty, empty, empty, empty, empty
+    assert n < 1 << PLACE_BITS
     ends = np.cumsum(sizes)
-    whole = Hasher(data)
-    bits = np.uint64(max(1, (n - 1).bit_length()))
+    hashed = Hasher(data)
+    bits = np.uint64(PLACE_BITS)
     position = np.arange(n - k + 1, dtype=np.uint64)
-    values = (_mixed(whole.all_of(k)) >> bits << bits) | position
+    values = (_mixed(hashed.all_of(k)) >> bits << bits) | position
     picked = (_sliding_min(values, length - k + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    del values, position
     inside = np.ones(n - length + 1, dtype=bool)
     for e in ends[:-1].tolist():
         inside[max(0, e - length + 1) : e] = False
@@ -133,62 +146,66 @@ def segments(texts: list[bytes], length: int, k: int) -> tuple[np.ndarray, ...]:
     keep = inside[first]
     first, last = first[keep], last[keep]
     at = picked[first]
-    anchor = _mixed(whole(at, at + k) + np.uint64(k))
-    shape = ((at - first).astype(np.uint64) << np.uint64(32)) | (last - first).astype(np.uint64)
-    content = _mixed(_mixed(whole(first, last - 1 + length)) + _mixed(shape))
+    anchor = _mixed(hashed(at, at + k) + np.uint64(k))
+    digests = b"".join([xxh3_128_digest(whole[i:j]) for i, j in zip(first.tolist(), (last - 1 + length).tolist(), strict=True)])
+    halves = np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
     text = np.searchsorted(ends, first, side="right")
-    return anchor, content, text, first - (ends - sizes)[text], last - first
+    return anchor, halves[:, 0], halves[:, 1], text, first - (ends - sizes)[text], last - first
 
 
-def _slices(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[list[bytes], list[int], list[int], list[int]]]:
-    """Texts of about SLICE bytes together, with their keys, offsets and weights; no window is in two of them."""
+def _slices(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[list[bytes], list[int], list[int], list[int], list[int]]]:
+    """Texts of about SLICE bytes together, with their keys, tags, offsets and weights; no window is in two of them."""
     texts: list[bytes] = []
-    keys: list[int] = []
-    bases: list[int] = []
-    weights: list[int] = []
+    places: list[tuple[int, int, int, int]] = []
     held = 0
     for batch in batches:
-        for key, base, weight, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if text is None or len(text) < length:
-                continue
-            for at in range(0, len(text) - length + 1, SLICE):
-                part = text[at : at + SLICE + length - 1]
-                texts.append(part)
-                keys.append(key)
-                bases.append(base + at)
-                weights.append(weight)
-                held += len(part)
-                if held >= SLICE:
-                    yield texts, keys, bases, weights
-                    texts, keys, bases, weights, held = [], [], [], [], 0
+        for start in range(0, batch.num_rows, 256):  # a few rows at a time as Python objects
+            for key, base, weight, text, *tag in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns), strict=True):
+                if text is None or len(text) < length:
+                    continue
+                for at in range(0, len(text) - length + 1, SLICE):
+                    part = text[at : at + SLICE + length - 1]
+                    texts.append(part)
+                    places.append((key, tag[0] if tag else 0, base + at, weight))
+                    held += len(part)
+                    if held >= SLICE:
+                        yield texts, *map(list, zip(*places, strict=True))
+                        texts, places, held = [], [], 0
     if texts:
-        yield texts, keys, bases, weights
+        yield texts, *map(list, zip(*places, strict=True))
+
+
+SUMS = "a long, u long, v long, c long, key long, tag long, start long, n int"
+SEGMENTS = "u long, v long, key long, tag long, start long, n int"
 
 
-ANCHORS = "a long, u long, c long, key long, start long, n int"
-_ANCHORS = pa.schema([("a", pa.int64()), ("u", pa.int64()), ("c", pa.int64()), ("key", pa.int64()), ("start", pa.int64()), ("n", pa.int32())])
+def _schema(columns: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32()}
+    return pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in columns.split(", ")])
 
 
-def _table(columns: list[np.ndarray]) -> pa.RecordBatch:
-    arrays = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, type=f.type) for c, f in zip(columns, _ANCHORS, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, schema=_ANCHORS)
+def _table(columns: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
+    arrays = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c, type=f.type) for c, f in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
 def anchored(length: int, k: int, summed: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows of ANCHORS for (key, base, weight, content) rows: each segment, or one row for each content that a task meets."""
+    """For (key, base, weight, content, tag) rows (the tag may be left out, as 0): rows of SEGMENTS, or of SUMS, one for each content that a task meets at a time."""
+    schema = _schema(SUMS if summed else SEGMENTS)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-        for texts, keys, bases, weights in _slices(batches, length):
-            a, u, text, start, n = segments(texts, length, k)
-            yield [a, u, np.array(weights, dtype=np.int64)[text], np.array(keys, dtype=np.int64)[text], start + np.array(bases, dtype=np.int64)[text], n.astype(np.int32)]
+        for texts, *places in _slices(batches, length):
+            a, u, v, text, start, n = segments(texts, length, k)
+            key, tag, base, weight = (np.array(p, dtype=np.int64)[text] for p in places)
+            yield [a, u, v, weight, key, tag, start + base, n.astype(np.int32)]
 
     def sums(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        a, u, c, key, start, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        order = np.lexsort((start, key, u, a))
-        a, u, c = a[order], u[order], c[order]
-        first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (u[1:] != u[:-1])])
+        a, u, v, c, key, tag, start, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((start, tag, key, v, u))
+        u, v = u[order], v[order]
+        first = np.flatnonzero(np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])])
         own = order[first]
-        return _table([a[first], u[first], np.add.reduceat(c, first), key[own], start[own], n[own]])
+        return _table([a[own], u[first], v[first], np.add.reduceat(c[order], first), key[own], tag[own], start[own], n[own]], schema)
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -196,7 +213,7 @@ def anchored(length: int, k: int, summed: bool) -> Callable[[Iterator[pa.RecordB
             if not len(own[0]):
                 continue
             if not summed:
-                yield _table(own)
+                yield _table([own[i] for i in (1, 2, 4, 5, 6, 7)], schema)
                 continue
             parts.append(own)
             held += len(own[0])
@@ -234,7 +251,8 @@ def suffix_order(symbols: np.ndarray) -> np.ndarray:
 class RunLengthIndex:
     """Run-compressed Burrows-Wheeler transform of some contents, with samples at the ends of its runs."""
 
-    def __init__(self, contents: list[bytes]):
+    def __init__(self, contents: list[bytes], verify: int = 1):
+        """Matches of ``verify`` symbols and more are compared symbol by symbol; shorter ones rest on hashes."""
         sizes = np.array([len(c) for c in contents], dtype=np.int64)
         text = np.frombuffer(b"\0".join(contents) + b"\0", dtype=np.uint8).astype(np.int64) + 1
         self.ends = np.cumsum(sizes + 1) - 1
@@ -247,7 +265,7 @@ class RunLengthIndex:
         self.run_symbols = bwt[np.r_[0, differs + 1]]
         self.run_lengths = np.diff(np.r_[0, differs + 1, self.n])
         tails, heads = order[differs], order[differs + 1]  # neighbours across a run's end
-        common = self._common(Hasher(text), tails, heads)
+        common = self._verified(text, self._common(Hasher(text), tails, heads), tails, heads, verify)
         # the first row has no neighbour above it, the last none below
         self.head_samples = np.r_[order[0], heads], np.r_[0, common]
         self.tail_samples = np.r_[order[-1], tails], np.r_[0, common]
@@ -261,6 +279,20 @@ class RunLengthIndex:
             least, most = np.where(same, middle, least), np.where(same, most, middle - 1)
         return least
 
+    @staticmethod
+    def _verified(text: np.ndarray, common: np.ndarray, a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
+        """``common`` cut at the first symbol that differs, a block of suffixes at a time."""
+        for own in np.array_split(long := np.flatnonzero(common >= least), max(1, int(common[long].sum()) >> 20)):
+            sizes = common[own]
+            if not len(own):
+                continue
+            starts = np.cumsum(sizes) - sizes
+            step = np.arange(sizes.sum()) - np.repeat(starts, sizes)
+            differs = text[np.repeat(a[own], sizes) + step] != text[np.repeat(b[own], sizes) + step]
+            if differs.any():
+                common[own] = np.minimum.reduceat(np.where(differs, step, np.repeat(sizes, sizes)), starts)
+        return common
+
     def matching_statistics(self) -> np.ndarray:
         """For each position, the length of the longest match that starts there and elsewhere, within its content."""
         position = np.arange(self.n)
@@ -275,31 +307,31 @@ class RunLengthIndex:
         return np.minimum(best, np.repeat(self.ends, self.ends - self.starts + 1) - position)
 
 
-MARKS = "key long, start long, n long"
-_MARKS = pa.schema([("key", pa.int64()), ("start", pa.int64()), ("n", pa.int64())])
+MARKS = "key long, tag long, start long, n long"
 
 
 def indexed(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Marks of (a, key, start, c, content) rows that come sorted by a."""
+    """Marks of (a, key, tag, start, c, content) rows that come sorted by a."""
+    schema = _schema(MARKS)
 
-    def marks(keys: list[int], starts: list[int], counts: list[int], contents: list[bytes]) -> pa.RecordBatch:
-        index = RunLengthIndex(contents)
+    def marks(keys: list[int], tags: list[int], starts: list[int], counts: list[int], contents: list[bytes]) -> pa.RecordBatch:
+        index = RunLengthIndex(contents, length)
         hit = np.r_[False, index.matching_statistics() >= length, False]
         edges = np.flatnonzero(hit[1:] != hit[:-1])
         first, last = edges[::2], edges[1::2]
         own = np.searchsorted(index.ends, first)
         alone = np.array(counts)[own] == 1  # others are marked whole already
         first, last, own = first[alone], last[alone], own[alone]
-        return pa.RecordBatch.from_arrays([pa.array(np.array(keys, dtype=np.int64)[own]), pa.array(np.array(starts, dtype=np.int64)[own] + first - index.starts[own]), pa.array(last - first)], schema=_MARKS)
+        return _table([np.array(keys, dtype=np.int64)[own], np.array(tags, dtype=np.int64)[own], np.array(starts, dtype=np.int64)[own] + first - index.starts[own], last - first], schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, ...] = ([], [], [], [])
+        held: tuple[list, ...] = ([], [], [], [], [])
         size, last = 0, None
         for batch in batches:
             for a, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if size >= CHUNK and a != last:
                     yield marks(*held)
-                    held, size = ([], [], [], []), 0
+                    held, size = ([], [], [], [], []), 0
                 for own, value in zip(held, row, strict=True):
                     own.append(value)
                 size, last = size + len(row[-1]), a
@@ -310,45 +342,71 @@ def indexed(length: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 
 def _groups(source: DataFrame, length: int, k: int) -> DataFrame:
-    """Contents under anchors that occur more than once: a, u, copies c, the first's place, and the number of contents under the anchor."""
-    once = source.mapInArrow(anchored(length, k, summed=True), ANCHORS)
-    contents = once.repartition("a").groupBy("a", "u").agg(F.sum("c").alias("c"), F.min(F.struct("key", "start", "n")).alias("first"))
-    counted = contents.selectExpr("a", "u", "c", "first.*", "count(*) over (partition by a) as contents", "sum(c) over (partition by a) as uses")
-    return counted.filter("uses > 1").drop("uses")
+    """Contents under anchors that occur more than once: a, u, v, copies c, the first's place, and the number of contents under the anchor.
+
+    Contents are counted by their digests and anchors by partial sums over their
+    contents, so that no task gathers what a hot anchor or content has.
+    """
+    once = source.mapInArrow(anchored(length, k, summed=True), SUMS)
+    contents = once.groupBy("a", "u", "v").agg(F.sum("c").alias("c"), F.min(F.struct("key", "tag", "start", "n")).alias("first"))
+    shared = contents.groupBy("a").agg(F.count("*").alias("contents"), F.sum("c").alias("uses")).filter("uses > 1").drop("uses")
+    return contents.join(shared, "a").select("a", "u", "v", "c", "first.*", "contents")
 
 
-def _key(id_col: str, text_col: str) -> Column:
-    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID) - F.pmod(F.xxhash64(text_col), F.lit(2**62)))
+def _unique(df: DataFrame, id_col: str) -> bool:
+    """Whether every row has a whole number of its own as its id."""
+    ids = df.select(F.col(id_col).try_cast("long").alias("key"))
+    return ids.filter("key is null").isEmpty() and ids.groupBy("key").count().filter("count > 1").isEmpty()
+
+
+class Texts:
+    """Rows as key, tag, content and ``whole_row``, and the different (key, tag, content) among them, dealt by key and tag.
+
+    The key is the id and the tag 0; where ids repeat or lack, the tag is a hash
+    of the text, so that only rows with one id and one text share their marks,
+    which are the same.
+    """
 
+    def __init__(self, df: DataFrame, id_col: str, text_col: str):
+        self.unique = _unique(df, id_col)
+        tag = F.lit(0).cast("long") if self.unique else F.xxhash64(text_col)
+        key = F.coalesce(F.col(id_col).try_cast("long"), F.lit(0))
+        self.rows = df.select(key.alias("key"), tag.alias("tag"), F.col(text_col).cast("binary").alias("content"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole_row"))
+        texts = self.rows.select("key", "tag", "content")
+        self.dealt = texts.repartition("key", "tag") if self.unique else texts.dropDuplicates(["key", "tag"])
 
-def keyed_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return df.select(_key(id_col, text_col).alias("key"), F.col(text_col).cast("binary").alias("content"))
+    def marks(self, length: int, crowded: int) -> DataFrame:
+        """key, tag, and the starts (from) and numbers (n) of its runs of windows that repeat."""
+        found = repeated_windows(self.rows, self.dealt, length, crowded)
+        return found.groupBy("key", "tag").agg(F.collect_list("start").alias("from"), F.collect_list("n").alias("n"))
 
 
-def repeated_windows(docs: DataFrame, dealt: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
-    """Runs of window starts that repeat: key, start, n.  ``docs``: keyed texts; ``dealt``: the same, dealt by key."""
-    source = docs.select("key", F.lit(0).cast("long").alias("base"), F.lit(1).cast("long").alias("weight"), "content")
+def repeated_windows(rows: DataFrame, texts: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
+    """Runs of window starts that repeat: key, tag, start, n.  ``rows``: keyed texts; ``texts``: the different ones, dealt by key and tag."""
+    source = rows.select("key", F.lit(0).cast("long").alias("base"), F.lit(1).cast("long").alias("weight"), "content", "tag")
     found = None
     for level, share in enumerate(LEVELS):
         k = min(length, max(1, round(share * length)))
         groups = checkpointed(_groups(source, length, k))
-        whole = groups.filter("c > 1").select("a", "u")
-        marks = source.mapInArrow(anchored(length, k, summed=False), ANCHORS).filter("c = 1" if level else "true").join(whole, ["a", "u"], "left_semi").selectExpr("key", "start", "cast(n as long) as n")
+        whole = groups.filter("c > 1").select("u", "v")
+        # a content with copies is marked whole already
+        every = source.filter("weight = 1").mapInArrow(anchored(length, k, summed=False), SEGMENTS).join(whole, ["u", "v"], "left_semi")
+        marks = every.selectExpr("key", "tag", "start", "cast(n as long) as n")
         if k < length:
             places = groups.filter("contents > 1").withColumnRenamed("start", "from")
             if level == 0:
-                taken = places.join(dealt.withColumnRenamed("content", "text"), "key").withColumn("at", F.col("from"))
+                taken = places.join(texts.withColumnRenamed("content", "text"), ["key", "tag"]).withColumn("at", F.col("from"))
             else:  # a piece of text may hold several of a document's segments
-                taken = places.join(source.selectExpr("key", "base", "content as text"), "key").withColumn("at", F.col("from") - F.col("base")).filter(f"at >= 0 and at + n + {length - 1} <= length(text)")
-                taken = taken.dropDuplicates(["a", "u"])
+                taken = places.join(source.selectExpr("key", "tag", "base", "content as text"), ["key", "tag"]).withColumn("at", F.col("from") - F.col("base")).filter(f"at >= 0 and at + n + {length - 1} <= length(text)")
+                taken = taken.dropDuplicates(["a", "u", "v"])
             # written once: what the index takes and what the next level takes are both read from it
-            taken = checkpointed(taken.selectExpr("a", "key", "`from`", "c", f"substring(text, cast(at + 1 as int), n + {length - 1}) as content", "contents"))
+            taken = checkpointed(taken.selectExpr("a", "key", "tag", "`from`", "c", f"substring(text, cast(at + 1 as int), n + {length - 1}) as content", "contents"))
             few = taken.filter(F.col("contents") <= crowded).drop("contents")
             marks = marks.unionByName(few.repartition("a").sortWithinPartitions("a").mapInArrow(indexed(length), MARKS))
         found = marks if found is None else found.unionByName(marks)
         if k == length or groups.filter(F.col("contents") > crowded).isEmpty():
             return found
-        source = taken.filter(F.col("contents") > crowded).selectExpr("key", "`from` as base", "c as weight", "content")
+        source = taken.filter(F.col("contents") > crowded).selectExpr("key", "`from` as base", "c as weight", "content", "tag")
     return found
 
 
@@ -377,9 +435,10 @@ def spans_of(starts: list[int], counts: list[int], length: int) -> tuple[np.ndar
 
 def dedup(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept_sha256"), crowded: int = CROWDED) -> DataFrame:
     """One row per document: its id, and columns of ``OUTPUTS``: removed spans of bytes, what is kept, or digests of both."""
-    docs = keyed_texts(df, id_col, text_col)
-    dealt = docs.repartition("key")
-    marks = repeated_windows(docs, dealt, length, crowded).groupBy("key").agg(F.collect_list("start").alias("from"), F.collect_list("n").alias("n"))
+    docs = Texts(df, id_col, text_col)
+    marks = docs.marks(length, crowded)
+    # one row for each key: the exchange that the index read from serves again
+    dealt = docs.dealt.withColumn("id", F.col("key")) if docs.unique else docs.rows.select("key", "tag", "content", F.col(f"whole_row.`{id_col}`").try_cast("long").alias("id"))
     schema = pa.schema([("key", pa.int64()), *[(k, OUTPUTS[k][1]) for k in outputs]])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -398,8 +457,8 @@ def dedup(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col:
                         own.append(values[k])
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, type=OUTPUTS[k][1]) for c, k in zip(out, outputs, strict=True)]], schema=schema)
 
-    done = dealt.join(marks, "key", "left").select("key", "content", "from", "n").mapInArrow(work, "key long, " + ", ".join(f"{k} {OUTPUTS[k][0]}" for k in outputs))
-    return done.select(F.when(F.col("key") > NO_ID, F.col("key")).alias(id_col), *outputs)
+    done = dealt.join(marks, ["key", "tag"], "left").select("id", "content", "from", "n").mapInArrow(work, "key long, " + ", ".join(f"{k} {OUTPUTS[k][0]}" for k in outputs))
+    return done.withColumnRenamed("key", id_col)
 
 
 def without_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", crowded: int = CROWDED) -> DataFrame:
@@ -407,11 +466,9 @@ def without_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
 
     Texts without a mark, null ones included, stay as they are.
     """
-    docs = keyed_texts(df, id_col, text_col)
-    dealt = docs.repartition("key")
-    marks = repeated_windows(docs, dealt, length, crowded).groupBy("key").agg(F.collect_list("start").alias("mark_starts"), F.collect_list("n").alias("mark_counts"))
-    rows = df.select(_key(id_col, text_col).alias("key"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole_row"))
-    joined = rows.join(marks, "key", "left").select("whole_row.*", F.col("mark_starts").alias(_STARTS), F.col("mark_counts").alias(_COUNTS))
+    docs = Texts(df, id_col, text_col)
+    marks = docs.marks(length, crowded).withColumnsRenamed({"from": _STARTS, "n": _COUNTS})
+    joined = docs.rows.select("key", "tag", "whole_row").join(marks, ["key", "tag"], "left").select("whole_row.*", _STARTS, _COUNTS)
     at = df.columns.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -94,3 +94,53 @@ def test_empty_and_nulls(spark):
     rows = S.dedup(spark.createDataFrame([(None, "z" * 300), (3, None)], "doc_id long, text string")).collect()
     assert {(r.doc_id, r.n_bytes, r.n_removed) for r in rows} == {(None, 300, 300), (3, 0, 0)}
     assert np.array_equal(S.spans_of([], [], 5)[0], [])
+
+
+def test_rows_that_repeat_an_id_are_documents_of_their_own(spark):
+    texts = corpus(3, 30)
+    ids = [1, 1, 2, 2, None, None] + [i // 2 for i in range(len(texts) - 6)]
+    df = spark.createDataFrame([(i, t, "x", 0) for i, t in zip(ids, texts)], "doc_id long, text string, content string, tag int")
+    got = sorted((r.n_bytes, r.n_removed, r.kept_sha256, str(r.doc_id)) for r in S.dedup(df, 40).collect())
+    data = [(t or "").encode() for t in texts]
+    want = []
+    for i, text, mark in zip(ids, data, brute(data, 40)):
+        kept = bytes(b for b, m in zip(text, mark) if not m)
+        want.append((len(text), sum(mark), hashlib.sha256(kept).hexdigest(), str(i)))
+    assert got == sorted(want)
+
+
+def test_unique_text_under_a_repeated_id_stays(spark):
+    rng = random.Random(8)
+    passage, own = ("".join(rng.choice("abcdefgh ") for _ in range(500)) for _ in range(2))
+    df = spark.createDataFrame([(1, passage), (1, own), (2, passage)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_removed) for r in S.dedup(df).collect()) == [(1, 0), (1, 500), (2, 500)]
+    kept = S.without_repeats(df).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(1, ""), (1, own), (2, "")])
+
+
+def test_equal_rolling_hashes_are_no_match(spark, monkeypatch):
+    """Strings that the rolling hash can't tell apart: digests and bytes decide."""
+    rng = random.Random(4)
+    contents = [bytes(rng.choice(b"abcd") for _ in range(60)) for _ in range(12)]
+    contents.append(contents[2][:30] + contents[5][30:])
+    monkeypatch.setattr(S.Hasher, "SYMBOLS", np.ones_like(S.Hasher.SYMBOLS))
+    index = S.RunLengthIndex(contents, 20)
+    got = index.matching_statistics()
+    for c, start in zip(contents, index.starts):
+        for i in range(len(c) - 19):
+            twice = sum(o[j : j + 20] == c[i : i + 20] for o in contents for j in range(len(o) - 19)) > 1
+            assert (got[start + i] >= 20) == twice
+    _, u, v, _, start, n = S.segments(contents, 40, 6)
+    assert len(set(zip(u.tolist(), v.tolist()))) > 12
+
+
+def test_long_text_and_byte_cuts(spark):
+    rng = random.Random(6)
+    long = "".join(rng.choice("abcdé ") for _ in range(300_000))
+    texts = [long, long[1000:1400] + "x" + long[250_000:250_300], "é" * 400, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in S.dedup(df).collect()}
+    a, b = long[1000:1400].encode(), long[250_000:250_300].encode()
+    assert (got[0].n_spans, got[0].n_removed) == (2, len(a) + len(b))
+    assert (got[1].n_spans, got[1].n_removed) == (2, len(a) + len(b))
+    assert got[2].n_removed == 800 and got[3].n_bytes == got[4].n_bytes == 0
