@@ -3,13 +3,13 @@
 Fingerprints of 64 bits are taken over word shingles; two link when at most
 ``reach`` bits differ.  Only distinct fingerprints are compared.
 
-Candidates meet under keys: of four 16-bit quarters, ``reach`` = 2 differing
-bits leave two quarters equal, so a fingerprint is sent under each of its six
-pairs of quarters.  Under a key, distances to many reference fingerprints
-(pivots) are precomputed: by the triangle inequality a pair whose distances to
-any pivot differ by more than ``reach`` is discarded, and what survives is
-verified bit by bit.  A key that more than ``CROWDED`` fingerprints share is split by
-their distances to further pivots into overlapping cells, which loses no link.
+Distances to reference fingerprints (pivots) both partition and prune.  By the
+triangle inequality a pair whose distances to any pivot differ by more than
+``reach`` doesn't link, so fingerprints are dealt to cells by their distances to
+several pivots, cells overlapping by ``reach``; the number of pivots follows that
+of the fingerprints, and cells that are still crowded are split by further ones.
+Within a cell a table of distances to many more pivots discards pairs by their
+largest coordinate difference, and what survives is verified bit by bit.
 
 A task doesn't send all the pairs it finds, but a spanning forest of them;
 groups are the connected components of the forests.
@@ -23,26 +23,29 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folio.llm.common import checkpointed
 from folio.llm.components import components
 
 SHINGLE = 3
 REACH = 2
 SEED = 42
 PIVOTS = 32
-#: Distinct fingerprints under one key that are compared without splitting it.
-CROWDED = 2_048
-#: Rounds of splitting, each by one pivot.
-SPLITS = 6
-#: Width of a splitting cell, in bits of distance.
-CELL = 6
+#: Distinct fingerprints of a cell that are compared without splitting it.
+CROWDED = 4_096
+#: Pivots that cells are split by, at most: what they can't tell apart is compared in one task, however many.
+MOST_SPLITS = 64
+#: Width of a cell and where cells begin, in bits of distance: near and far half, the best cut for its overlap.
+CELL, CUT = 32, 1
+#: What one pivot divides the size of a cell by, for unrelated fingerprints.
+GAIN = 1.66
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -70,18 +73,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return sum(1 << (8 * byte + bit) for bit in range(8) for byte in range(8) if bits[bit, byte])
 
 
-def fingerprints(df: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a signed long)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def fingerprints(df: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", keep: str | None = None) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a signed long), and a whole-number column to ``keep``."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), *([(keep, pa.int64())] if keep else [])])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
                 found = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], schema=schema)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64)), *part.columns[2:]], schema=schema)
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(work, "doc_id long, fp long")
+    own = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *([F.col(keep)] if keep else []))
+    return own.mapInArrow(work, "doc_id long, fp long" + (f", {keep} long" if keep else ""))
 
 
 def pivots(n: int) -> np.ndarray:
@@ -98,19 +102,23 @@ def close_pairs(fps: np.ndarray, reach: int, refs: np.ndarray) -> tuple[np.ndarr
     """All pairs of places whose fingerprints differ in at most ``reach`` bits."""
     table = distance_table(fps, refs)
     order = np.argsort(table[:, 0], kind="stable")
-    fps, table = fps[order], table[order]
-    until = np.searchsorted(table[:, 0], table[:, 0] + reach, side="right")
+    fps, table = fps[order], table[order].T.copy()
+    until = np.searchsorted(table[0], table[0] + reach, side="right")
     found = []
-    for i in range(len(fps) - 1):
-        rest = np.arange(i + 1, until[i])
-        # largest coordinate difference, a few pivots at a time
-        for at in range(1, table.shape[1], 8):
-            if not len(rest):
+    for at in range(0, len(fps), 64):
+        # a block against all that its distances to the first pivot leave, then pivot by pivot
+        own = np.arange(at, min(at + 64, len(fps)))
+        rest = np.arange(at + 1, until[own[-1]])
+        i, j = np.nonzero((rest > own[:, None]) & (rest < until[own][:, None]) & (np.abs(table[1, own][:, None] - table[1, rest]) <= reach))
+        i, j = own[i], rest[j]
+        for distances in table[2:]:
+            if not len(i):
                 break
-            rest = rest[(np.abs(table[rest, at : at + 8] - table[i, at : at + 8]) <= reach).all(axis=1)]
-        rest = rest[np.bitwise_count(fps[rest] ^ fps[i]) <= reach]
-        if len(rest):
-            found.append((np.full(len(rest), i), rest))
+            near = np.abs(distances[i] - distances[j]) <= reach
+            i, j = i[near], j[near]
+        near = np.bitwise_count(fps[i] ^ fps[j]) <= reach
+        if near.any():
+            found.append((i[near], j[near]))
     if not found:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     a, b = (order[np.concatenate(x)] for x in zip(*found, strict=True))
@@ -139,70 +147,72 @@ def spanning_forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int
 def _links(reach: int, refs: np.ndarray):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def of(fps: list[int]) -> tuple[list[int], list[int]]:
-        own = np.array(fps, dtype=np.int64)
-        pairs = spanning_forest(len(own), *close_pairs(own.view(np.uint64), reach, refs))
-        return [int(own[x]) for x, _ in pairs], [int(own[y]) for _, y in pairs]
+    def of(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        own = np.concatenate(parts)
+        pairs = spanning_forest(len(own), *close_pairs(own.view(np.uint64), reach, refs)) if len(own) > 1 else []
+        if pairs:
+            a, b = (own[list(x)] for x in zip(*pairs, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, []
-        a: list[int] = []
-        b: list[int] = []
         for batch in batches:
-            for key, fp in zip(zip(*(c.to_pylist() for c in batch.columns[:-1]), strict=True), batch.columns[-1].to_pylist(), strict=True):
-                if key != last:
-                    if len(held) > 1:
-                        for own, new in zip((a, b), of(held), strict=True):
-                            own.extend(new)
-                    last, held = key, []
-                held.append(fp)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
-                a, b = [], []
-        if len(held) > 1:
-            a, b = of(held)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], schema=schema)
+            cells, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
+            for start, stop in zip(cuts.tolist(), [*cuts[1:].tolist(), len(cells)], strict=True):
+                if cells[start] != last and held:
+                    yield from of(held)
+                    held = []
+                last = cells[start]
+                held.append(fps[start:stop])
+        if held:
+            yield from of(held)
 
     return work
 
 
-def _keys(quarters: int, equal: int):
-    """SQL of the keys that pairs of fingerprints can share: which parts, and their bits."""
-    width = 64 // quarters
-    masks = [sum(((1 << width) - 1) << (width * q) for q in chosen) for chosen in combinations(range(quarters), equal)]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    return F.explode(F.array(*[F.struct(F.lit(i).alias("part"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(signed)]))
+def _split(cells: DataFrame, refs: np.ndarray, reach: int) -> DataFrame:
+    """(cell, fp): each cell cut by the distances to each of the pivots.
+
+    A cell of width ``CELL`` holds fingerprints by their distance; one that is up
+    to ``reach`` below the next cell goes there too.  So two that differ in at most
+    ``reach`` bits share a cell for every pivot: that of the larger distance.
+    """
+    for ref in refs.view(np.int64).tolist():
+        far = F.bit_count(F.col("fp").bitwiseXOR(F.lit(ref)))
+        own = F.array_distinct(F.array(F.floor((far - CUT) / CELL), F.floor((far - CUT + reach) / CELL)))
+        cells = cells.select("cell", "fp", F.explode(own).alias("c")).select(F.xxhash64("cell", "c").alias("cell"), "fp")
+    return cells
 
 
 def links(distinct: DataFrame, reach: int = REACH, n_pivots: int = PIVOTS, crowded: int = CROWDED) -> DataFrame:
     """(a, b) pairs of different fingerprints that connect all that link."""
-    refs = pivots(n_pivots)
-    keyed = distinct.select("fp", _keys(4, 4 - reach).alias("k")).selectExpr("k.part", "k.bits", "0L as cell", "fp")
-    met = None
-    for turn in range(SPLITS + 1):
-        key = ["part", "bits", "cell"]
-        sizes = keyed.groupBy(*key).agg(F.count("*").alias("size")).filter("size > 1")
-        # a count for each key that is shared at all; most fingerprints stay alone and drop out here
-        shared = keyed.join(sizes, key)
-        few = shared if turn == SPLITS else shared.filter(F.col("size") <= crowded)
-        few = few.select(*key, "fp")
+    refs, splitting = pivots(n_pivots), pivots(n_pivots + MOST_SPLITS)[n_pivots:]
+    n = distinct.count()
+    # as many pivots as leave cells of half that size if distances are those of unrelated fingerprints
+    first = max(0, math.ceil(math.log(max(n, 1) / max(crowded / 2, 1)) / math.log(GAIN)))
+    cells, met, used = distinct.select(F.lit(0).cast("long").alias("cell"), "fp"), None, 0
+    while True:
+        take = min(first if not used else 2, MOST_SPLITS - used)
+        cells = _split(cells, splitting[used : used + take], reach)
+        used += max(take, 1)
+        full = None
+        if used < MOST_SPLITS:
+            full = checkpointed(cells.groupBy("cell").agg(F.count("*").alias("size")).filter(F.col("size") > crowded).select("cell"))
+            if full.isEmpty():
+                full = None
+        few = cells if full is None else cells.join(full, "cell", "left_anti")
         met = few if met is None else met.unionByName(few)
-        if turn == SPLITS or sizes.filter(F.col("size") > crowded).isEmpty():
+        if full is None:
             break
-        ref = int(pivots(n_pivots + SPLITS)[n_pivots + turn].astype(np.int64))
-        far = F.bit_count(F.col("fp").bitwiseXOR(F.lit(ref)))
-        # the cell of its own distance, and the next if a partner may be there
-        cells = F.array_distinct(F.array(F.floor(far / CELL), F.floor((far + reach) / CELL)))
-        keyed = shared.filter(F.col("size") > crowded).select("part", "bits", F.col("cell").alias("before"), F.explode(cells).alias("c"), "fp").selectExpr("part", "bits", "before * 64 + c + 1 as cell", "fp")
-    dealt = met.repartition("part", "bits", "cell").sortWithinPartitions("part", "bits", "cell", "fp")
+        cells = checkpointed(cells.join(full, "cell", "left_semi"))
+    # a fingerprint that several ways lead to one cell is there once
+    dealt = met.repartition("cell").sortWithinPartitions("cell", "fp")
     return dealt.mapInArrow(_links(reach, refs), "a long, b long")
 
 
 def groups(df: DataFrame, shingle: int = SHINGLE, reach: int = REACH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id."""
-    from folio.llm.common import checkpointed
-
     prints = checkpointed(fingerprints(df, shingle, id_col, text_col))
     distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     nodes = components(links(distinct.select("fp"), reach))
@@ -214,19 +224,19 @@ def groups(df: DataFrame, shingle: int = SHINGLE, reach: int = REACH, id_col: st
 
 
 def representatives(df: DataFrame, shingle: int = SHINGLE, reach: int = REACH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group, the smallest id's, all columns as they are; of rows that repeat an id, one.
+    """One row of each group, all columns as they are: that of the smallest id, then of the smallest hash of the row; without ids, last.
 
-    Of a group without ids one row stays.
+    Rows are told apart by id and a hash of all their columns, so rows that repeat
+    an id stand for themselves; of rows equal in all, one is taken first, in each
+    task before the shuffle.
     """
-    found = groups(df, shingle, reach, id_col, text_col)
-    named = found.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    kept = df.join(named, id_col, "left_semi").dropDuplicates([id_col])
-    # rows without an id stay only where no id names their group, one for each fingerprint
-    nameless = found.filter("component_id is null").select("fingerprint").distinct()
-    null_rows = df.filter(F.col(id_col).isNull())
-    if nameless.isEmpty():
-        return kept
-    texts = null_rows.dropDuplicates([text_col])
-    prints = fingerprints(texts.select(F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t")), shingle, "h", "t")
-    lone = prints.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).join(nameless, "fingerprint", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("h"))
-    return kept.unionByName(texts.withColumn("h", F.xxhash64(text_col)).join(lone, "h", "left_semi").drop("h"))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole_row"), F.col(f"`{id_col}`").try_cast("long").alias("row_id"), row.alias("row_hash"), F.col(f"`{text_col}`").alias("whole_text"))
+    prints = checkpointed(fingerprints(marked, shingle, "row_hash", "whole_text", keep="row_id"))
+    place = F.struct(F.col("row_id").isNull().alias("last"), "row_id", F.col("doc_id").alias("row_hash"))
+    distinct = checkpointed(prints.groupBy("fp").agg(F.min(place).alias("first")))
+    nodes = components(links(distinct.select("fp"), reach))
+    named = distinct.join(nodes, distinct.fp == nodes.node, "left").select("first", F.coalesce("component", "fp").alias("component"))
+    chosen = named.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row_id").alias("chosen_id"), F.col("first.row_hash").alias("chosen_hash"))
+    rows = marked.groupBy("row_id", "row_hash").agg(F.first("whole_row").alias("whole_row"))
+    return rows.join(chosen, F.col("row_id").eqNullSafe(F.col("chosen_id")) & (F.col("row_hash") == F.col("chosen_hash")), "left_semi").select("whole_row.*")

@@ -349,7 +349,8 @@ def _groups(source: DataFrame, length: int, k: int) -> DataFrame:
     """
     once = source.mapInArrow(anchored(length, k, summed=True), SUMS)
     contents = once.groupBy("a", "u", "v").agg(F.sum("c").alias("c"), F.min(F.struct("key", "tag", "start", "n")).alias("first"))
-    shared = contents.groupBy("a").agg(F.count("*").alias("contents"), F.sum("c").alias("uses")).filter("uses > 1").drop("uses")
+    # the use of ``first`` keeps the columns of both sides alike, so that their shuffle is one
+    shared = contents.groupBy("a").agg(F.count("*").alias("contents"), F.sum("c").alias("uses"), F.count("first").alias("known")).filter("uses > 1 and known > 0").select("a", "contents")
     return contents.join(shared, "a").select("a", "u", "v", "c", "first.*", "contents")
 
 

@@ -92,3 +92,33 @@ def test_long_chain(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (7, 7), (9, 8)], "a long, b long")
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
+
+
+def test_pivots_prune(spark):
+    """Without their distances, cells and tables let every pair through."""
+    rng = np.random.default_rng(3)
+    fps = np.unique(rng.integers(0, 1 << 64, 6000, dtype=np.uint64))
+    df = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    cells = S._split(df.selectExpr("0L as cell", "fp"), S.pivots(6), 2)
+    sizes = [r["count"] for r in cells.groupBy("cell").count().collect()]
+    pairs = sum(n * (n - 1) // 2 for n in sizes)
+    assert pairs < 0.3 * len(fps) ** 2 / 2
+    table = S.distance_table(fps[:1000], S.pivots(32)).astype(int)
+    left = sum(int((np.abs(table[i + 1 :] - table[i]).max(axis=1) <= 2).sum()) for i in range(999))
+    assert left < 0.001 * 1000 * 999 / 2
+
+
+def test_close_pairs_brute_force():
+    rng = np.random.default_rng(5)
+    fps = rng.integers(0, 1 << 64, 200, dtype=np.uint64)
+    fps = np.unique(np.r_[fps, *[fps ^ np.uint64(1 << int(b)) for b in rng.integers(0, 63, 5)], fps ^ np.uint64(7)])
+    i, j = S.close_pairs(fps, 2, S.pivots(32))
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 2
+    assert {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist())} == {(a, b) for a, b in zip(*np.nonzero(near)) if a < b}
+
+
+def test_representatives_keep_texts_that_are_no_near_copies(spark):
+    texts = ["a b c d e f g", "some quite other words than these", "a b c d e f g"]
+    df = spark.createDataFrame([(1, t, "x") for t in texts] + [(None, "one more text of its own kind", "y"), (2, texts[0], "z")] + [(3, texts[1], "w")] * 2, "doc_id long, text string, row_id string")
+    kept = sorted((str(r.doc_id), r.text, r.row_id) for r in S.representatives(df).collect())
+    assert kept == [("1", texts[0], "x"), ("1", texts[1], "x"), ("None", "one more text of its own kind", "y")]
