@@ -8,6 +8,7 @@ a span of source bytes.  The segmentation itself is the sentencepiece library's.
 Segmenting whole texts repeats the same words over and over.  When the model is
 such that no merge can cross a word start (``_splits_at_spaces``), a text falls
 apart at its single spaces and each distinct chunk is segmented once per worker;
+the spans are projected through the whole text's alignment all the same;
 other texts (leading, trailing, double or literal-marker spaces) and other
 models go through the library whole.  Both ways give the library's ids.
 
@@ -101,8 +102,27 @@ class Normalizer:
             yield at, *hit
             at += hit[0]
 
+    @property
+    def plain(self) -> bool:
+        """Whether all that it does is to write a marker before the text and for each space."""
+        return not self.map.units and not self.trim and self.dummy_prefix
+
+    def _plain(self, data: bytes) -> tuple[bytes, np.ndarray]:
+        """What the steps give where no rule of the map can match: every byte stands for itself, a space for a marker."""
+        n = len(self.space)
+        sizes = np.ones(len(data) + 1, dtype=np.int64)
+        letters = np.frombuffer(data, dtype=np.uint8)
+        sizes[:-1][letters == 0x20] = n
+        return self.space + data.replace(b" ", self.space), np.concatenate([np.zeros(n, dtype=np.int64), np.repeat(np.arange(len(data) + 1), sizes)])
+
     def __call__(self, data: bytes) -> tuple[bytes, np.ndarray]:
         """Normalised bytes, and for each of them (and the end) the source offset."""
+        if data and self.plain:
+            return self._plain(data)
+        return self._stepped(data)
+
+    def _stepped(self, data: bytes) -> tuple[bytes, np.ndarray]:
+        """One longest-prefix look-up after another."""
         steps = list(self._steps(data))
         end = len(data)
         if self.trim:
@@ -115,18 +135,18 @@ class Normalizer:
             return b"", np.array([end if self.trim else 0], dtype=np.int64)
         out, source = bytearray(), []
 
-        def put(chunk: bytes, offset: int) -> None:
+        def put(chunk: bytes, offset: int, as_it_is: bool = False) -> None:
             out.extend(chunk)
-            source.extend([offset] * len(chunk))
+            source.extend(range(offset, offset + len(chunk)) if as_it_is else [offset] * len(chunk))
 
         if self.dummy_prefix:
             put(self.space, first)
         after_space = self.trim
-        for offset, _, chunk in steps:
+        for offset, size, chunk in steps:
             if after_space:
                 chunk = chunk.lstrip(b" ")
             if chunk:
-                put(chunk.replace(b" ", self.space), offset)
+                put(chunk.replace(b" ", self.space), offset, chunk != b" " and data[offset : offset + size] == chunk)
                 after_space = self.trim and chunk.endswith(b" ")
         if self.trim:
             while out.endswith(self.space) and len(out) >= len(self.space):
@@ -172,26 +192,17 @@ class Codec:
         """Ids, and the spans of source bytes that the alignment projects them to."""
         pieces = self.sp.encode(text, out_type=str, add_eos=False)
         ids = self.sp.encode(text, out_type=int, add_eos=False)
-        _, source = self.normalizer(text.encode())
         sizes = [1 if len(p) == 6 and p.startswith("<0x") and self.sp.is_byte(i) else len(p.encode()) for p, i in zip(pieces, ids, strict=True)]
-        at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-        at = np.minimum(at, len(source) - 1).astype(np.int64)
-        return ids, source[at[:-1]], source[at[1:]]
+        return ids, *self._projected(text.encode(), np.array(sizes, dtype=np.int64))
 
     def learn(self, chunks: set[str]) -> None:
-        """Remember what a text needs of each chunk that follows a space: ids as text and packed, packed source lengths, surface.
-
-        Without a character map a piece covers the source bytes that it spells;
-        the marker at its start stands for the space before the chunk.
-        """
+        """Remember what a text needs of each chunk that follows a space: ids as text and packed, packed normalised lengths, surface."""
         if len(self.cache) + len(chunks - self.cache.keys()) > CACHED_CHUNKS:
             self.cache.clear()
         chunks -= self.cache.keys()
         new, length, cache = list(chunks), self.lengths, self.cache
         for chunk, ids, surface in zip(new, found := self.sp.encode(new, out_type=int, num_threads=1), self.sp.decode(found), strict=True):
             sizes = [length[i] for i in ids]
-            if sizes:
-                sizes[0] -= len(SPACE.encode()) - 1
             cache[chunk] = " ".join(map(str, ids)), array("i", ids).tobytes(), array("I", sizes).tobytes(), surface
 
     def encode_all(self, texts: list[str | None]) -> list[dict]:
@@ -203,10 +214,17 @@ class Codec:
 
     def _of_chunks(self, text: str, chunks: list[str]) -> dict:
         parts = [self.cache[c] for c in chunks]
-        sizes = np.frombuffer(b"".join([p[2] for p in parts]), dtype="<u4").astype(np.int64)
-        sizes[0] -= 1  # no space before the first
-        ends = np.cumsum(sizes)
-        return self._with_tail(text, " ".join([p[0] for p in parts]), b"".join([p[1] for p in parts]), ends - sizes, ends, " ".join([p[3] for p in parts]))
+        starts, ends = self._projected(text.encode(), np.frombuffer(b"".join([p[2] for p in parts]), dtype="<u4"))
+        return self._with_tail(text, " ".join([p[0] for p in parts]), b"".join([p[1] for p in parts]), starts, ends, " ".join([p[3] for p in parts]))
+
+    def _projected(self, data: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Source spans of pieces that partition the normalised bytes, by the normaliser's alignment."""
+        normalised, source = self.normalizer(data)
+        at = np.zeros(len(sizes) + 1, dtype=np.int64)
+        np.cumsum(sizes, out=at[1:])
+        if at[-1] != len(normalised):
+            raise ValueError("the pieces don't spell the normalised text")
+        return source[at[:-1]], source[at[1:]]
 
     def _of_whole(self, text: str) -> dict:
         ids, starts, ends = self._segment(text)

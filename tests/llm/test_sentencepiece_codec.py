@@ -47,3 +47,31 @@ def test_normalisation_by_character_map():
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert S.encode(empty, PATH).collect() == []
+
+
+def test_plain_alignment_is_that_of_the_steps():
+    codec = S.Codec(PATH)
+    assert codec.by_chunk and codec.normalizer.plain
+    for text in TEXTS:
+        data = (text or "").encode()
+        if not data:
+            continue
+        got, source = codec.normalizer(data)
+        want, stepped = codec.normalizer._stepped(data)
+        assert got == want and source.tolist() == stepped.tolist(), text
+
+
+def test_spans_come_through_the_alignment(monkeypatch):
+    codec = S.Codec(PATH)
+    texts = ["The quick brown fox 🎉 naïve", " two  spaces"]
+    before = [(r["starts"].tolist(), r["ends"].tolist()) for r in codec.encode_all(texts)]
+    normal = S.Normalizer.__call__
+    monkeypatch.setattr(S.Normalizer, "__call__", lambda self, data: (normal(self, data)[0], normal(self, data)[1] * 0))
+    after = [(r["starts"].tolist(), r["ends"].tolist()) for r in codec.encode_all(texts)]
+    assert all(a != b and not any(a[0][:-1]) for a, b in zip(after, before))
+
+
+def test_null_ids_and_clashing_names(spark):
+    df = spark.createDataFrame([(None, "a b", "z"), (None, None, "z"), (3, "a b", None)], "doc_id long, text string, n_tokens string")
+    rows = S.encode(df, PATH, outputs=("n_tokens",)).collect()
+    assert sorted((str(r.doc_id), r.n_tokens) for r in rows) == [("3", 3), ("None", 1), ("None", 3)]
