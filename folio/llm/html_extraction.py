@@ -3,13 +3,18 @@
 A page is cut into blocks at block-level tags.  The first pass classifies each
 block by itself: by the share of its characters inside links, its length and
 the density of stop words, and by what encloses it (menus, footers, notices,
-adverts, forms and comments are never text).  Short or middling blocks stay
-undecided.  The second pass gives each of those the label of its nearest decided
-neighbour on either side within the same part of the page; an article element,
-where there is one, is such a part and decides for blocks without a neighbour.
-Articles decide for what is outside them only if they hold most of the page's
-running text, and a compound name (``no-sidebar``) rejects its element only if
-that encloses less than most of it.
+adverts, forms and comments are never text).  Short, middling and thin blocks
+stay undecided.  The second pass gives each of those the label of its nearest
+decided neighbour on either side within the same part of the page.
+
+An article element is such a part if densities find running text in it, and then
+decides for its blocks without a neighbour; one without is judged like the rest
+of the page.  Long blocks of many stop words are text wherever they stand;
+undecided ones outside are dropped if articles hold most of the running text.  A
+compound name (``no-sidebar``) rejects its element only if that encloses less
+than most of it; a name such as ``related`` inside an article leaves the verdict
+to the densities.  A page with next to no stop words at all is in another
+language: then length and links alone decide.
 
 Defined cases: null and empty pages give an empty text; unclosed tags end with
 their container; references are decoded, white space in a block becomes one
@@ -37,12 +42,14 @@ STOP_WORDS = frozenset(
 )
 STOP_WORDS_HIGH, STOP_WORDS_LOW = 0.30, 0.12
 MAX_LINK_DENSITY = 0.33
+#: Least share of stop words in all of a page's longer blocks; below it the page's language is not one of those.
+COVERED = 0.03
 SHORT, LONG = 70, 200
 
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 #: Elements whose ends matter, since what is inside is classified by them.
 CONTAINERS = frozenset("article aside details dialog div dl fieldset figure footer form header main menu nav ol section span table tbody td tr ul".split())
-SKIPPED = frozenset("button canvas datalist embed head iframe map math noframes noscript object option script select style svg template textarea title".split())
+SKIPPED = frozenset("button canvas datalist head iframe map noframes noscript object option script select style svg template textarea title".split())
 NEVER_TEXT = frozenset("aside dialog footer form menu nav".split())
 #: Words of class, id and role values that name what is not the text.
 BOILERPLATE = frozenset(
@@ -50,6 +57,8 @@ BOILERPLATE = frozenset(
     disqus footer gdpr legal login masthead menu menubar modal nav navbar navigation newsletter notice notices notification pagination pager popup promo promoted recommended related replies reply respond search
     share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription tagcloud toolbar topbar widget widgets""".split()
 )
+#: Of those, words that also name parts of a text: inside an article such a part's blocks are judged, and stay if they are running text.
+DOUBTED = frozenset("disclaimer discussion legal notice notices promoted recommended related respond search share sharing social widget widgets".split())
 #: Of those, words that a page's own header goes by; inside an article they name the headline.
 HEADERS = frozenset("header masthead topbar".split())
 
@@ -71,6 +80,7 @@ class Block:
     text: str = ""
     label: str = ""
     named: tuple[int, ...] = ()
+    doubted: bool = False
 
 
 def _boilerplate_names(values: list[tuple[str, ...]], names: frozenset[str]) -> tuple[bool, bool]:
@@ -85,7 +95,7 @@ def _boilerplate_names(values: list[tuple[str, ...]], names: frozenset[str]) ->
 def blocks_of(html: str, pardoned: frozenset[int] = frozenset()) -> list[Block]:
     """``pardoned``: places of start tags whose compound names don't reject."""
     found: list[Block] = []
-    open_tags: list[tuple[str, bool, int, tuple[int, ...]]] = []  # name, whether boilerplate from here on, region, places of compound names
+    open_tags: list[tuple[str, bool, int, tuple[int, ...], bool]] = []  # name, whether boilerplate from here on, region, places of compound names, whether doubted
     region, regions, in_link, skipping, heading = 0, 0, 0, "", False
     block = Block()
     at = 0
@@ -95,7 +105,7 @@ def blocks_of(html: str, pardoned: frozenset[int] = frozenset()) -> list[Block]:
         block.text = " ".join(unescape("".join(block.parts)).split())
         if block.text:
             found.append(block)
-        block = Block(boilerplate=bool(open_tags) and open_tags[-1][1], region=open_tags[-1][2] if open_tags else 0, heading=heading, named=open_tags[-1][3] if open_tags else ())
+        block = Block(boilerplate=bool(open_tags) and open_tags[-1][1], region=open_tags[-1][2] if open_tags else 0, heading=heading, named=open_tags[-1][3] if open_tags else (), doubted=bool(open_tags) and open_tags[-1][4])
 
     def add(text: str) -> None:
         block.parts.append(text)
@@ -131,8 +141,10 @@ def blocks_of(html: str, pardoned: frozenset[int] = frozenset()) -> list[Block]:
                 if depth is not None:
                     del open_tags[depth:]
             else:
-                bad, own, named = open_tags[-1][1:] if open_tags else (False, 0, ())
-                whole, part = _boilerplate_names(_NAMES.findall(m[2]), BOILERPLATE if not own else BOILERPLATE - HEADERS)
+                bad, own, named, doubted = open_tags[-1][1:] if open_tags else (False, 0, (), False)
+                values = _NAMES.findall(m[2])
+                whole, part = _boilerplate_names(values, BOILERPLATE if not own else BOILERPLATE - HEADERS - DOUBTED)
+                doubted = doubted or bool(own) and any(_boilerplate_names(values, DOUBTED))
                 hard = name in NEVER_TEXT or (name == "header" and not own) or whole or bool(_HIDDEN.search(m[2]))
                 if part and not hard and not bad and m.start() not in pardoned:
                     named = (*named, m.start())
@@ -142,12 +154,12 @@ def blocks_of(html: str, pardoned: frozenset[int] = frozenset()) -> list[Block]:
                 if name in ("article", "main") and not bad and not own:
                     regions += 1
                     own = regions
-                open_tags.append((name, bad, own, named))
+                open_tags.append((name, bad, own, named, doubted))
         if name in BLOCK_TAGS:
             heading = not closing and len(name) == 2 and name[0] == "h" and name != "hr"
             end()
             in_link = 0
-        elif name in CONTAINERS and open_tags and open_tags[-1][1] != block.boilerplate:
+        elif name in CONTAINERS and open_tags and (open_tags[-1][1] != block.boilerplate or open_tags[-1][4] != block.doubted):
             end()
     if at < len(html):
         add(html[at:])
@@ -155,8 +167,13 @@ def blocks_of(html: str, pardoned: frozenset[int] = frozenset()) -> list[Block]:
     return found
 
 
-def _first_pass(block: Block) -> str:
-    """good, bad, near (middling) or short."""
+def _stop_words(block: Block) -> tuple[int, int]:
+    words = _WORD.findall(block.text.lower())
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def _first_pass(block: Block, covered: bool = True) -> str:
+    """good, bad, near (middling), short, or thin: long enough, but next to no stop words."""
     if block.boilerplate:
         return "bad"
     size = max(1, len("".join(block.text.split())))
@@ -164,35 +181,52 @@ def _first_pass(block: Block) -> str:
     if linked > (MAX_LINK_DENSITY if not block.region else 0.5):
         return "bad"
     if len(block.text) < SHORT:
-        return "bad" if block.linked and not block.region else "short"
-    words = _WORD.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if density >= STOP_WORDS_HIGH:
-        return "good" if len(block.text) >= LONG else "near"
-    if density >= STOP_WORDS_LOW or block.region:
-        return "near"
-    return "bad"
+        return "bad" if block.doubted or block.linked and not block.region else "short"
+    if covered:
+        found, words = _stop_words(block)
+        density = found / max(1, words)
+        label = ("good" if len(block.text) >= LONG else "near") if density >= STOP_WORDS_HIGH else "near" if density >= STOP_WORDS_LOW else "thin"
+    else:  # no stop words to go by: length alone, after links
+        label = "good" if len(block.text) >= LONG else "thin"
+    return "bad" if block.doubted and label == "thin" else label
 
 
-def classify(blocks: list[Block]) -> list[Block]:
-    """Labels good and bad."""
-    first = [_first_pass(b) for b in blocks]
-    running = [(len(b.text), b.region) for b, x in zip(blocks, first, strict=True) if x in ("good", "near")]
-    articles = any(b.region for b in blocks) and 2 * sum(n for n, region in running if region) >= sum(n for n, _ in running)
-
-    def nearest(i: int, step: int) -> tuple[str, int]:
-        j = i + step
-        while 0 <= j < len(blocks) and blocks[j].region == blocks[i].region and blocks[j].boilerplate == blocks[i].boilerplate:
-            if first[j] in ("good", "bad") or first[j] == "near" != first[i]:
-                return ("bad" if first[j] == "bad" else "good"), abs(j - i)
-            j += step
-        return "", len(blocks)
+def _is_covered(blocks: list[Block]) -> bool:
+    counts = [_stop_words(b) for b in blocks if not b.boilerplate and len(b.text) >= SHORT]
+    return sum(n for n, _ in counts) >= COVERED * sum(n for _, n in counts) if counts else True
 
+
+def _sweep(first: list[str], blocks: list[Block], decided: tuple[str, ...]) -> list[tuple[str, int]]:
+    """For each block the label of the last decided one before it in its part of the page, and how far back that is."""
+    out, label, at = [], "", 0
+    for i, block in enumerate(blocks):
+        if i and (block.region, block.boilerplate) != (blocks[i - 1].region, blocks[i - 1].boilerplate):
+            label = ""
+        out.append((label, i - at) if label else ("", len(blocks)))
+        if first[i] in decided:
+            label, at = ("bad" if first[i] == "bad" else "good"), i
+    return out
+
+
+def classify(blocks: list[Block]) -> list[Block]:
+    """Labels good and bad, in two passes."""
+    covered = _is_covered(blocks)
+    first = [_first_pass(b, covered) for b in blocks]
+    # an article's blocks stand together only if they hold running text, or nothing long enough to tell
+    longer = {b.region for b, x in zip(blocks, first, strict=True) if b.region and x in ("good", "near", "thin")}
+    confirmed = {b.region for b, x in zip(blocks, first, strict=True) if b.region and (x in ("good", "near") or b.region not in longer)}
+    running = [(len(b.text), b.region in confirmed) for b, x in zip(blocks, first, strict=True) if x in ("good", "near")]
+    articles = bool(confirmed) and 2 * sum(n for n, inside in running if inside) >= sum(n for n, _ in running)
+    first = ["bad" if x == "thin" and b.region not in confirmed else x for b, x in zip(blocks, first, strict=True)]
+    sides = {}
+    for kinds in (("good", "bad"), ("good", "bad", "near")):
+        after = _sweep(first[::-1], blocks[::-1], kinds)[::-1]
+        sides[kinds] = list(zip(_sweep(first, blocks, kinds), after, strict=True))
     for i, block in enumerate(blocks):
         label = first[i]
-        if label in ("near", "short"):
-            (before, near), (after, far) = nearest(i, -1), nearest(i, 1)
-            if block.region:  # an article's part is text unless both its sides aren't
+        if label in ("near", "short", "thin"):
+            (before, near), (after, far) = sides["good", "bad"][i] if label == "near" else sides["good", "bad", "near"][i]
+            if block.region in confirmed:  # an article's part is text unless both its sides aren't
                 label = "bad" if before == after == "bad" else "good"
             elif articles:
                 label = "bad"
@@ -202,8 +236,6 @@ def classify(blocks: list[Block]) -> list[Block]:
                 label = "good" if first[i] == "near" else (before if near < far else after if far < near else "good" if block.heading and after == "good" else "bad")
             else:
                 label = before or after
-        elif label == "good" and articles and not block.region:
-            label = "bad"
         block.label = label
     return blocks
 

@@ -60,3 +60,37 @@ def test_teaser_card_is_not_the_page():
     text = f"<p>{PROSE} {OTHER}</p><p>{OTHER} {PROSE}</p><p>{PROSE} {OTHER}</p>"
     got = H.main_text(f"<html><body><div>{text}</div><article><p>A card of few words.</p></article></body></html>")
     assert f"{PROSE} {OTHER}\n\n{OTHER} {PROSE}\n\n{PROSE} {OTHER}" in got
+
+
+def test_densities_decide(monkeypatch):
+    listing = "zrk0 qplx vbn2 wrtz kkjh mnbv plok qazx wsxe dcrf vtgb yhnu jmik olpz qwer tyui opas dfgh"
+    page_of = lambda inner: f"<html><body><div><p>{PROSE} {OTHER}</p><p>{OTHER} {PROSE}</p></div>{inner}</body></html>"
+    want = [f"{PROSE} {OTHER}", f"{OTHER} {PROSE}"]
+    # an article without running text decides nothing, and one with it takes its thin blocks along
+    assert H.main_text(page_of(f"<article><p>{listing}</p></article>")) == "\n\n".join(want)
+    assert H.main_text(f"<article><p>{PROSE} {OTHER}</p><pre>{listing}</pre><p>{OTHER} {PROSE}</p></article>") == "\n\n".join([want[0], listing, want[1]])
+    # prose outside an article stays
+    assert H.main_text(f"<body><div><p>{PROSE} {OTHER}</p></div><article><p>{OTHER} {PROSE}</p></article></body>") == "\n\n".join(want)
+    # inside an article a doubtful name leaves the verdict to the densities
+    parts = f"<p>{PROSE} {OTHER}</p><section class='related'><p>{OTHER} {PROSE}</p><p>See also</p><p>{listing}</p></section>"
+    assert H.main_text(f"<article>{parts}</article>") == "\n\n".join(want)
+    before = H.main_text(f"<article>{parts}</article>")
+    pages = [r["html"] for r in pq.read_table("/root/testdata/sf0.001/pages.parquet").to_pylist()]
+    monkeypatch.setattr(H, "STOP_WORDS", frozenset())
+    assert H.main_text(page_of("<article><p>Und so weiter und so fort in Worten, die hier keiner kennt, aber doch liest</p></article>")) == "\n\n".join(want)
+    assert H.main_text(f"<article><p>{PROSE}</p><p>{PROSE}</p></article>") == ""
+    assert before and all(isinstance(H.main_text(x), str) for x in pages)
+
+
+def test_void_elements_and_formulas():
+    text = f"<p>{PROSE} {OTHER}</p>"
+    assert H.main_text(f"<article>{text}<embed src=x><p>Where <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>{text}</article>") == f"{PROSE} {OTHER}\n\nWhere x=2 holds.\n\n{PROSE} {OTHER}"
+
+
+def test_long_pages_take_linear_time():
+    import time
+
+    page = "<article>" + "<p>A few.</p>" * 12_000 + f"<p>{PROSE} {OTHER}</p></article>"
+    began = time.process_time()
+    assert H.main_text(page).count("A few.") == 12_000
+    assert time.process_time() - began < 5
