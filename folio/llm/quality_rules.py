@@ -1,9 +1,9 @@
 """Quality rules: counts of a text's faults, and a hashed n-gram likelihood ratio.
 
 DataFrame operations only.  Counts are array expressions over a text's words and
-lines.  The verdict compares two multinomials over hashed n-grams of word forms
-(letters and digits reduced to their kind, runs to one): that of a trusted
-target, texts labelled good, and that of the whole raw corpus.  A text's score
+lines.  The verdict compares two multinomials over hashed n-grams, words by
+themselves and pairs of neighbours' forms (letters and digits reduced to their
+kind, runs to one): that of a trusted target, texts labelled good, and that of the whole raw corpus.  A text's score
 is its log-likelihood ratio divided by its number of n-grams; a text is kept if
 the score reaches ``THRESHOLD``, a fixed number, so equal texts fare alike.
 
@@ -99,13 +99,13 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 
 
 def ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
-    """log of trusted over raw probability of each unigram bucket, then of each bigram bucket; counts start at one."""
+    """log of trusted over raw probability of each bucket of words, then of pairs of forms; counts start at one."""
     good = trusted_ids(labels).withColumn("trusted", F.lit(1))
     # texts, not their words, go through the join: they are smaller; the labels grow with the table, so are never broadcast
-    marked = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left").select("trusted", _once(forms_of(F.col("text"))).alias("forms"))
-    n = F.size("forms")
-    pairs = marked.select("trusted", F.inline(F.arrays_zip(F.col("forms").alias("own"), F.slice("forms", 2, F.greatest(n, F.lit(1))).alias("next"))))
-    grams = pairs.select("trusted", _bucket(F.col("own")).alias("one"), F.when(F.col("next").isNotNull(), _bucket(F.col("own"), F.col("next"))).alias("two"))
+    marked = docs.select("doc_id", "text").join(good.hint("shuffle_hash"), "doc_id", "left").select("trusted", _once(words_of(F.col("text"))).alias("words"), _once(forms_of(F.col("text"))).alias("forms"))
+    follow = F.slice("forms", 2, F.greatest(F.size("forms"), F.lit(1)))
+    pairs = marked.select("trusted", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("forms").alias("own"), follow.alias("next"))))
+    grams = pairs.select("trusted", _bucket(F.col("word")).alias("one"), F.when(F.col("next").isNotNull(), _bucket(F.col("own"), F.col("next"))).alias("two"))
     met = grams.groupBy("one", "two").agg(F.count("*").alias("raw"), F.count("trusted").alias("good"))
     both = F.explode(F.array("one", F.col("two") + BUCKETS)).alias("bucket")
     each = met.select(both, "raw", "good").filter("bucket is not null")
@@ -133,11 +133,11 @@ def keep(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
 
 def _judged(own: DataFrame, labels: DataFrame) -> DataFrame:
     weights = F.expr("cast(split('" + ",".join(f"{x:.6f}" for x in ratios(own, labels)) + "', ',') as array<double>)")
-    forms = F.col("forms")
+    forms, words = F.col("forms"), F.col("words")
 
     def of(f: Column, i: Column) -> Column:
         follow = F.get(forms, i + 1)
-        return F.get(weights, _bucket(f)) + F.when(follow.isNotNull(), F.get(weights, F.lit(BUCKETS) + _bucket(f, follow))).otherwise(0.0)
+        return F.get(weights, _bucket(F.get(words, i))) + F.when(follow.isNotNull(), F.get(weights, F.lit(BUCKETS) + _bucket(f, follow))).otherwise(0.0)
 
     df = with_counts(own).withColumn("forms", _once(forms_of(F.col("text"))))
     total = F.aggregate(F.transform(forms, of), F.lit(0.0), lambda a, x: a + x)

@@ -62,3 +62,68 @@ def test_every_good_label_counts(spark):
     others = spark.range(1000, 61_000).selectExpr("id as doc_id", "1 as quality")  # good ones that docs hasn't
     assert Q.ratios(docs, own.union(others).union(own)) == Q.ratios(docs, own)
     assert any(Q.ratios(docs, own))
+
+
+def brute_scores(texts, good):
+    """Length-normalised log-likelihood ratios, hash by hash; ``good``: which texts are trusted."""
+    import math
+    from collections import Counter
+
+    from xxhash import xxh64_intdigest
+
+    def bucket(*parts):
+        seed = 42
+        for part in parts:
+            seed = xxh64_intdigest(part.encode(), seed)
+        return (seed - (1 << 64) if seed >> 63 else seed) % Q.BUCKETS
+
+    def form(word):
+        kinds = "".join("a" if c in Q._LOWER else "A" if c in Q._UPPER else "9" if c in Q._DIGITS else c for c in word)
+        return re.sub(r"(.)\1+", r"\1", kinds)
+
+    def grams(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        forms = [form(w) for w in words]
+        return [bucket(w) for w in words], [bucket(a, b) for a, b in zip(forms, forms[1:])]
+
+    found = [grams(t) for t in texts]
+    logs = []
+    for kind in (0, 1):
+        raw, own = Counter(), Counter()
+        for g, t in zip(found, good):
+            raw.update(g[kind])
+            if t:
+                own.update(g[kind])
+        n_raw, n_own = sum(raw.values()) + Q.BUCKETS, sum(own.values()) + Q.BUCKETS
+        logs.append({b: math.log((own[b] + 1) / n_own) - math.log((raw[b] + 1) / n_raw) for b in raw})
+    return [(sum(logs[0][b] for b in one) + sum(logs[1][b] for b in two)) / (len(one) + len(two)) if one else 0.0 for one, two in found]
+
+
+def test_verdict_brute_force(spark):
+    texts = corpus()
+    good = [i % 3 == 0 for i in range(len(texts))]
+    df = spark.createDataFrame([(i, t, "f") for i, t in enumerate(texts)], "doc_id long, text string, forms string")
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(good)], "doc_id long, quality int")
+    want = brute_scores(texts, good)
+    for r in Q.judge(df, labels).collect():
+        assert abs(r.score - want[r.doc_id]) < 1e-5, texts[r.doc_id]
+        assert r.kept == (not r.base_failed and r.score >= Q.THRESHOLD)
+
+
+def test_words_count_and_not_their_shapes_alone(spark):
+    rng = random.Random(9)
+    one, two = ([a + b + c for a in letters for b in "aeiou" for c in letters] for letters in ("bcdfg", "mnprs"))
+    texts = [" ".join(rng.choice(v) for _ in range(120)) for v in (one, two) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(None, texts[0])], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in Q.judge(df, labels).collect()}
+    assert min(got[i] for i in range(30)) > max(got[i] for i in range(30, 60)) + 0.1
+    assert got[None] == got[0]  # a row without an id is judged like any other
+
+
+def test_threshold_itself_is_kept(spark, monkeypatch):
+    df = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(6)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 1)], "doc_id long, quality int")
+    some = sorted(r.score for r in Q.judge(df, labels).collect())[3]
+    monkeypatch.setattr(Q, "THRESHOLD", some)
+    assert all(r.kept == (r.score >= some) for r in Q.judge(df, labels).collect())
