@@ -6,10 +6,11 @@ characters down to one) and scores their log frequencies.  A text's language
 has the largest sum; its score is the winner's share in the softmax of the sums
 for each word.
 
-Learned from ``TRAIN_ROWS`` texts with a language at most, dealt evenly over the
-``MODEL_LANGUAGES`` languages with most texts: each gets an equal number, a rarer
-one all that it has, and the rest are not told apart.  The tables keep the ``MODEL_WORDS`` words met in most texts and the
-``MODEL_GRAMS`` n-grams met most in different words.  Sums run over whole texts.
+Learned from ``TRAIN_ROWS`` texts with a language at most, dealt evenly over all
+languages: each gets an equal number, one at least, and a rarer one all that it
+has.  The tables keep the ``MODEL_WORDS`` words met in most texts and the
+``MODEL_GRAMS`` n-grams met most in different words, fewer where languages are
+so many that the tables would pass ``MODEL_VALUES``.  Sums run over whole texts.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 without any training text so is everything; ties go to the language that sorts
@@ -31,17 +32,20 @@ from pyspark.sql import functions as F
 
 from folio.llm.common import checkpointed, sampled
 
-#: Texts that are learned from, at most, and languages that are told apart.
+#: Texts that are learned from, at most (one for each language where these are more).
 TRAIN_ROWS = 4_000
-MODEL_LANGUAGES = 200
 #: Words that the tables keep, those met in most texts, and n-grams, those met most in different words.
 MODEL_WORDS = 40_000
 MODEL_GRAMS = 40_000
+#: Values that either table holds at most, one for each entry and language.
+MODEL_VALUES = 8_000_000
 LONGEST = 5
 #: What a text adds to the count of each entry of each language before any is seen.
 SMOOTHING = 0.1
 CACHED_WORDS = 200_000
 UNKNOWN = "und"
+#: Parts that rows are hashed into to be chosen by a share: far more than any table has rows.
+SHARES = 2**62
 
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -134,21 +138,22 @@ def _gram_counts(words: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, teaching: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN_ROWS) -> Model:
     """Learn from the ``teaching`` rows (id and language) of ``docs``; null languages and ids aren't used."""
     known = teaching.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, F.col(lang_col).alias("lang"))
-    most = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MODEL_LANGUAGES).collect()
+    most = known.groupBy("lang").count().collect()  # a row for each language
     languages = sorted(r.lang for r in most)
     if not languages:
         return Model()
     each = max(1, rows // len(languages))
-    # the share of each language's rows that gives ``each`` of them, twice over for chance; then exactly ``each`` at most
-    share = {r.lang: min(1.0, 2 * each / r["count"]) for r in most}
-    limit = F.element_at(F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(int(v * 2**20)))]), F.col("lang"))
-    even = known.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit("lang")), F.lit(2**20)) < limit)
+    # the share of each language's rows that gives ``each`` of them, more than twice over for chance; then exactly ``each`` at most
+    share = {r.lang: min(1.0, (2 * each + 50) / r["count"]) for r in most}
+    limit = F.element_at(F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(int(v * SHARES)))]), F.col("lang"))
+    even = known.filter(F.pmod(F.xxhash64(F.col(id_col), F.lit("lang")), F.lit(SHARES)) < limit)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64(id_col), id_col))
     even = even.groupBy(id_col).agg(F.max("lang").alias("lang")).withColumn("place", place).filter(F.col("place") <= each).drop("place")
     sample = sampled(docs.select(id_col, F.col(text_col).alias("text")), even, max(rows, len(languages)), id_col)
     words = checkpointed(_word_counts(sample))
     model = Model(languages)
     for counts, rank, least, table, size in ((words, "texts", 2, model.words, MODEL_WORDS), (_gram_counts(words), "n", 1, model.grams, MODEL_GRAMS)):
+        size = max(1, min(size, MODEL_VALUES // len(languages)))
         each_token = counts.groupBy("word").agg(F.sum(rank).alias("rank"), *[F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(languages)])
         kept = each_token.filter(F.col("rank") >= least).orderBy(F.desc("rank"), "word").limit(size).collect()
         n = np.array([r[2:] for r in kept], dtype=np.float64).reshape(len(kept), len(languages))

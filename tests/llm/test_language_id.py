@@ -56,3 +56,26 @@ def test_rare_languages_keep_their_rows(spark, monkeypatch):
     monkeypatch.setattr(L, "sampled", spy)
     L.fit(df, df.union(df.limit(50)), rows=40)
     assert seen == {"aa": 13, "bb": 13, "rr": 10}
+
+
+def test_share_of_a_language_of_very_many_rows():
+    rows = 10**13
+    assert int(min(1.0, 2050 / rows) * L.SHARES) > 0
+    assert abs(int(2050 / rows * L.SHARES) / L.SHARES * rows - 2050) < 1
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26)}x{chr(97 + i // 26)}q " * 5, f"l{i:03d}") for i in range(260)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(df, df, rows=40)
+    assert len(model.languages) == 260
+    got = {r.doc_id: r.lang_pred for r in L.predict(df, model).collect()}
+    assert len(set(got.values())) > 200
+
+
+def test_ties_and_long_texts(spark):
+    df = spark.createDataFrame([(1, "same words", "bb"), (2, "same words", "aa"), (3, "der und " * 200_000, None), (4, "der und", "aa"), (4, "the and", "bb"), (5, "same", None)], "doc_id long, text string, lang string")
+    model = L.fit(df, df)
+    got = sorted((r.doc_id, r.lang_pred, round(r.score, 6)) for r in L.predict(df, model).collect())
+    assert {x for i, x, _ in got if i in (1, 2)} == {"aa"} and len(got) == 6  # a tie: what sorts first
+    assert next(r for r in got if r[0] == 3)[1] in ("aa", "bb")

@@ -94,3 +94,27 @@ def test_contexts_read_every_training_text(spark, monkeypatch):
     df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
     Q.fit(df, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int"))
     assert seen == [df.select("text").distinct().filter(F.pmod(F.xxhash64("text"), F.lit(4)) != 0).count()]
+
+
+def test_scores_are_the_same_for_any_batch_size(spark):
+    rows = corpus()
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows if i % 3 != 1], "doc_id long, quality int")
+    found, key = [], "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for size, parts in ((10_000, 2), (7, 5)):
+            spark.conf.set(key, size)
+            dealt = df.repartition(parts)
+            found.append({r.doc_id: r.score for r in Q.score(dealt, Q.fit(dealt, labels)).collect()})
+    finally:
+        spark.conf.set(key, before)
+    assert found[0].keys() == found[1].keys()
+    assert max(abs(found[0][i] - found[1][i]) for i in found[0]) < 1e-6
+
+
+def test_long_text(spark):
+    df = spark.createDataFrame([(1, "ab cd ef " * 100_000), (2, "ab cd ef")], "doc_id long, text string")
+    assert len({r.score for r in Q.score(df, Q.Model()).collect()}) == 1
+    model = Q.Model(contexts={}, mean=np.zeros(2 * Q.WIDTH + 3), spread=np.ones(2 * Q.WIDTH + 3), layers=[np.ones((2 * Q.WIDTH + 3, 2)), np.zeros(2), np.ones(2), np.zeros(1)])
+    assert all(0 <= r.score <= 1 for r in Q.score(df, model).collect())

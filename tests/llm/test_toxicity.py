@@ -76,3 +76,18 @@ def test_every_passage_is_evidence():
             rates = np.cumsum(rng.exponential(size=40))
             sums.append(np.expm1(model.evidence([(0, 1, 1.0 + np.log(n) - np.log(r)) for r in rates], n)))
         assert abs(np.mean(sums) - np.pi**2 / 6) < 0.15
+
+
+def test_long_text_and_ties(spark):
+    rows = corpus()
+    docs = [(i, t, "p") for i, t, _ in rows] + [(9000, " ".join(t for _, t, y in rows if not y) * 5, "p"), (9001, rows[0][1] + " " + "ta " * 300_000, "p")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, starts string")
+    model = T.fit(df, spark.createDataFrame([(i, y) for i, _, y in rows] + [(0, 0), (0, 1), (1, None)], "doc_id long, toxic int"))
+    by = {r.doc_id: r for r in T.score(df, model).collect()}
+    assert len(by) == len(docs) and by[9000].predicted == 0
+    assert 0 <= by[9001].score <= 1
+    words = T.words_of(docs[-1][1])
+    short = model.segments(words[: len(T.words_of(rows[0][1]))], {})
+    assert short and [x[:2] for x in model.segments(words, {})][: len(short)] == [x[:2] for x in short]  # segments are found in a very long text alike
+    scores = np.array([1.0, -1.0, 1.0, -3.0, 1.0])
+    assert [(a, b) for a, b, _ in T.maximal_segments(scores)] == [(0, 1), (2, 3), (4, 5)]  # equal runs stay apart
