@@ -6,8 +6,9 @@ are within the Euclidean distance sqrt(2 - 2 threshold), so metric bounds hold.
 Equal vectors are one class first.  Classes are dealt to cells around centres:
 the net that halving radii give on a bounded sample.  Each pair of cells meets in
 one of the two: a class is also sent to the cells whose centre is within that
-cell's covering radius and the linking distance of it; others can't hold a
-partner.  Crowded cells are split by hash, and their parts meet likewise.
+cell's covering radius and the linking distance of it, and whose distances to
+each of some other centres reach to the linking distance of its own; others
+can't hold a partner.  Crowded cells are split by hash, and their parts meet likewise.
 
 A task builds a cover tree (nested levels, radii halved) of its cell and walks
 it against itself and against trees of the visitors.  A pair of nodes whose
@@ -37,10 +38,12 @@ from folio.llm.common import checkpointed
 from folio.llm.components import components
 
 THRESHOLD = 0.95
-#: Classes that a cell should have; cells at most; sampled vectors that centres are chosen from.
-CELL, MAX_CELLS, SAMPLE = 4_096, 512, 4_096
-#: Classes that one part of a crowded cell has, on average.
-PART = 8_192
+#: Bytes of vectors, in double precision, that a cell should have, and that one part of a crowded cell has on average.
+CELL_BYTES, PART_BYTES = 8 << 20, 16 << 20
+#: Cells at most; sampled vectors that centres are chosen from.
+MAX_CELLS, SAMPLE = 512, 4_096
+#: Centres whose distances to all that a cell holds are kept as ranges.
+RANGES = 16
 LEAF = 64
 #: Visitors that get a tree of their own together.
 VISITORS = 2_048
@@ -209,7 +212,6 @@ def _valid(vector: Column) -> Column:
     return F.coalesce(fine & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-UNITS = "unit long, visitor int, rid long, weight long, vector array<double>"
 LINKS = "a long, b long, n long"
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
@@ -276,10 +278,10 @@ def _walk(threshold: float):
     return work
 
 
-def _dealt(centres: np.ndarray, radii: np.ndarray, parts: np.ndarray, reach: float):
-    """Rows of UNITS: a class at home, and as a visitor wherever a partner may be that no other meeting covers."""
+def _dealt(centres: np.ndarray, radii: np.ndarray, ranges: tuple[np.ndarray, np.ndarray], parts: np.ndarray, reach: float):
+    """unit, visitor, rid, weight, vector: a class at home, and as a visitor wherever a partner may be that no other meeting covers."""
     first = np.concatenate([[0], np.cumsum(parts)])
-    schema = pa.schema([("unit", pa.int64()), ("visitor", pa.int32()), ("rid", pa.int64()), ("weight", pa.int64()), ("vector", pa.list_(pa.float64()))])
+    least, most = ranges
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,6 +293,8 @@ def _dealt(centres: np.ndarray, radii: np.ndarray, parts: np.ndarray, reach: flo
                 rows = [np.arange(len(rid))]
                 units, visitor = [first[home] + own], [np.zeros(len(rid), dtype=np.int32)]
                 later = (d <= radii + reach + SLACK) & (np.arange(len(radii)) > home[:, None])
+                for k in range(least.shape[1]):
+                    later &= (d[:, k, None] >= least[:, k] - reach - SLACK) & (d[:, k, None] <= most[:, k] + reach + SLACK)
                 i, j = np.nonzero(later)
                 for cell in np.unique(j):
                     for p in range(parts[cell]):
@@ -303,46 +307,59 @@ def _dealt(centres: np.ndarray, radii: np.ndarray, parts: np.ndarray, reach: flo
                     visitor.append(np.ones(len(rows[-1]), dtype=np.int32))
                 take = pa.array(np.concatenate(rows))
                 taken = part.take(take)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(units).astype(np.int64)), pa.array(np.concatenate(visitor), pa.int32()), taken.column(0), taken.column(1), taken.column(2)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(units).astype(np.int64)), pa.array(np.concatenate(visitor), pa.int32()), taken.column(0), taken.column(1), taken.column(2)], names=["unit", "visitor", "rid", "weight", "vector"])
 
     return work
 
 
 def _homes(centres: np.ndarray):
-    schema = pa.schema([("cell", pa.int64()), ("away", pa.float64())])
+    """Each batch's cells: classes, the furthest from the centre, and the range of distances to each of the first centres."""
+    n = min(RANGES, len(centres))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             d = np.sqrt(np.maximum(2 - 2 * (_unit(batch.column(0)) @ centres.T), 0))
-            yield pa.RecordBatch.from_arrays([pa.array(d.argmin(axis=1)), pa.array(d.min(axis=1))], schema=schema)
+            home = d.argmin(axis=1)
+            order = np.argsort(home, kind="stable")
+            at = np.flatnonzero(np.r_[True, np.diff(home[order]) > 0])
+            near, d = d[order, home[order]], d[order, :n]
+            columns = [home[order][at], np.diff(np.r_[at, len(order)]), np.maximum.reduceat(near, at), *np.minimum.reduceat(d, at).T, *np.maximum.reduceat(d, at).T]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["cell", "n", "away", *[f"least{k}" for k in range(n)], *[f"most{k}" for k in range(n)]])
 
     return work
 
 
-def links(classes: DataFrame, threshold: float = THRESHOLD, cell: int = CELL, part: int = PART) -> DataFrame:
+def links(classes: DataFrame, threshold: float = THRESHOLD, cell: int | None = None, part: int | None = None) -> DataFrame:
     """LINKS of (rid, weight, vector) rows, vectors of one length: counts for a (b null), and connecting pairs a, b."""
     n = classes.count()
-    cells = min(MAX_CELLS, max(1, -(-n // cell)))
     sample = classes.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE).toArrow()["vector"].combine_chunks()  # SAMPLE rows at most
     x = _unit(sample)
-    centres = x[halving_net(x, cells)]
-    # at most MAX_CELLS rows
-    homes = {r.cell: (r.n, r.away) for r in classes.select("vector").mapInArrow(_homes(centres), "cell long, away double").groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("away")).collect()}
-    sizes = np.array([homes.get(i, (0, -10.0))[0] for i in range(len(centres))], dtype=np.int64)
-    radii = np.array([homes.get(i, (0, -10.0))[1] for i in range(len(centres))])
-    parts = np.maximum(1, -(-sizes // part))
-    dealt = classes.select("rid", "weight", "vector").mapInArrow(_dealt(centres, radii, parts, math.sqrt(2 - 2 * threshold)), UNITS)
+    cell, part = cell or max(LEAF, CELL_BYTES // (8 * x.shape[1])), part or max(LEAF, PART_BYTES // (8 * x.shape[1]))
+    centres = x[halving_net(x, min(MAX_CELLS, max(1, -(-n // cell))))]
+    k = min(RANGES, len(centres))
+    columns = ["n", "away", *[f"least{i}" for i in range(k)], *[f"most{i}" for i in range(k)]]
+    met = classes.select("vector").mapInArrow(_homes(centres), "cell long, n long, " + ", ".join(f"{c} double" for c in columns[1:]))
+    totals = [F.sum("n").alias("n"), F.max("away").alias("away"), *[(F.min if c.startswith("least") else F.max)(c).alias(c) for c in columns[2:]]]
+    homes = {r.cell: r for r in met.groupBy("cell").agg(*totals).collect()}  # at most MAX_CELLS rows
+    nowhere = [0, -10.0, *[10.0] * k, *[-10.0] * k]
+    told = np.array([[homes[i][c] for c in columns] if i in homes else nowhere for i in range(len(centres))], dtype=np.float64)
+    parts = np.maximum(1, -(-told[:, 0].astype(np.int64) // part))
+    kind = classes.schema["vector"].dataType.simpleString()
+    dealt = classes.select("rid", "weight", "vector").mapInArrow(_dealt(centres, told[:, 1], (told[:, 2 : 2 + k], told[:, 2 + k :]), parts, math.sqrt(2 - 2 * threshold)), f"unit long, visitor int, rid long, weight long, vector {kind}")
     return dealt.repartition("unit").sortWithinPartitions("unit", "visitor").mapInArrow(_walk(threshold), LINKS)
 
 
-def groups(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding", cell: int = CELL, part: int = PART) -> DataFrame:
+def groups(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vector_col: str = "embedding", cell: int | None = None, part: int | None = None) -> DataFrame:
     """id, n_links (other rows linked directly), component_id (smallest id reachable), kept (id = component_id)."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("original"), _valid(F.col(vector_col)).alias("valid"))
     classes = rows.filter("valid").groupBy("original").agg(F.count("*").alias("weight"), F.min("id").alias("least"))
     classes = checkpointed(classes.select(F.monotonically_increasing_id().alias("rid"), "original", "weight", "least"))
     found = None
     for r in classes.select(F.size("original").alias("size")).distinct().collect():  # lengths of vectors: one, but for odd tables
-        own = classes.filter(F.size("original") == r.size).selectExpr("rid", "weight", "cast(original as array<double>) as vector")
+        vector = F.col("original") if dict(classes.dtypes)["original"] == "array<float>" else F.col("original").cast("array<double>")
+        own = classes.filter(F.size("original") == r.size).select("rid", "weight", vector.alias("vector"))
         own = links(own, threshold, cell, part)
         found = own if found is None else found.unionByName(own)
     invalid = rows.filter("not valid").selectExpr("id", "0L as n_links", "id as component_id")

@@ -65,3 +65,23 @@ def test_empty(spark):
     assert E.groups(empty).collect() == []
     rows = E.groups(spark.createDataFrame([(None, [1.0, 0.0]), (5, [1.0, 0.0]), (None, None)], "vec_id long, embedding array<float>")).collect()
     assert sorted((r.vec_id or -1, r.n_links, r.component_id or -1, r.kept) for r in rows) == [(-1, 0, -1, False), (-1, 1, 5, False), (5, 1, 5, True)]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_ranges_prune_and_lose_nothing(spark, monkeypatch, kind):
+    """Clusters along several directions: visitors are far fewer than every vector to every later cell."""
+    rng = np.random.default_rng(12)
+    base = np.eye(12)
+    data = np.concatenate([b + rng.normal(size=(40, 12)) * 0.05 for b in base])
+    if kind == "float":
+        data = data.astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], f"vec_id long, embedding array<{kind}>")
+    dealt = []
+    monkeypatch.setattr(E, "_dealt", lambda *a, f=E._dealt: dealt.append(a) or f(*a))
+    rows = sorted(E.groups(df, cell=40).collect())
+    n, comp = brute(list(data))
+    assert [r.n_links for r in rows] == n and [r.component_id for r in rows] == comp
+    centres, radii, ranges, parts, reach = dealt[0]
+    classes = df.selectExpr("vec_id as rid", "1L as weight", "embedding as vector")
+    sent = classes.mapInArrow(E._dealt(*dealt[0]), f"unit long, visitor int, rid long, weight long, vector array<{kind}>").filter("visitor = 1").count()
+    assert sent < 0.2 * len(data) * len(centres) / 2
