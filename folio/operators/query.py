@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import time
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, replace
 from typing import Any
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from folio.functions import predicates as P
 from folio.model import Collection, Model
 from folio.plans import nest
 from folio.plans.scope import Scope
+from folio.plans.shape import shaped
 
 Frames = Callable[[str], DataFrame]
 AGGREGATES = ("count", "any", "sum", "avg", "min", "max")
@@ -96,7 +99,7 @@ def _unsupported(name: str):
     return method
 
 
-for _name in ("distinct", "group_by", "join", "union", "concat", "intersect", "exclude", "reverse", "last", "element_at", "skip_while", "take_while", "all", "select_many", "group_join", "of_type", "cast", "long_count"):
+for _name in ("distinct", "group_by", "join", "union", "concat", "intersect", "exclude", "reverse", "last", "element_at", "skip_while", "take_while", "all", "select_many", "group_join", "of_type", "cast", "long_count", "contains", "default_if_empty"):
     setattr(Clauses, _name, _unsupported(_name))
 
 
@@ -192,8 +195,20 @@ class DocQuery(Clauses):
             raise EmptyResult("no row")
         return rows[0] if rows else None
 
-    def collect(self) -> list:
-        return self.df().collect()
+    def collect(self, attempts: int = 1, wait: float = 0.1) -> list:
+        """All rows; with more ``attempts`` a failed run is tried again after ``wait`` seconds, doubled each time."""
+        for turn in range(attempts):
+            try:
+                return self.df().collect()
+            except PySparkException:
+                if turn + 1 == attempts:
+                    raise
+                time.sleep(wait * 2**turn)
+        return []
+
+    def rows(self) -> Iterator:
+        """The rows one after another, a partition at a time on the driver."""
+        return self.df().toLocalIterator(prefetchPartitions=True)
 
     def describe(self) -> str:
         """The query in words, for logs."""
@@ -262,7 +277,8 @@ class Planner:
         self._frames = frames
 
     def frame(self, name: str) -> DataFrame:
-        return self._frames(self.model[name].table or name)
+        collection = self.model[name]
+        return shaped(collection, self._frames(collection.table or name))
 
     def _scope(self, collection: Collection, df: DataFrame) -> Scope:
         return Scope(self.model, collection, df, self.frame, self.strict)
@@ -287,6 +303,13 @@ class Planner:
             columns.append(F.col(f"`{key}`").desc() if flip else F.col(f"`{key}`").asc())
         return columns
 
+    @staticmethod
+    def _ranks(scope: Scope, order: tuple[Order, ...]) -> list[tuple[Column, bool]]:
+        """Columns that children are sorted by, and whether they descend; the key last."""
+        key = scope.collection.key
+        own = [(scope.column(o.path), o.desc) for o in order]
+        return [*own, (F.col(f"`{key}`"), False)] if key and key not in [o.path for o in order] else own
+
     def root(self, q: DocQuery) -> DataFrame:
         scope = self._filtered(self.model[q.name], q)
         for o in q.order:
@@ -305,6 +328,8 @@ class Planner:
                 scope.df = scope.df.limit(q.taken)
         if q.aggregate:
             kind, path = q.aggregate
+            if kind == "any":  # one row is enough
+                scope.df = scope.df.limit(1)
             return scope.df.agg(self._aggregated(scope, kind, path).alias("value"))
         self._include(scope, q.included)
         out = self._selected(scope, q) if q.fields is not None else scope.df.select(*[f"`{c}`" for c in self._kept(scope)])
@@ -391,10 +416,8 @@ class Planner:
             present = below.column(o.path).isNotNull()
             below.df = below.df.filter(present)
         banded = q.taken is not None or q.skipped is not None
-        ordered = bool(q.order or below.collection.key)
-        if ordered or banded:
-            if q.aggregate is None or banded:
-                below.df = nest.band(below.df, link.parent_key, self._sort(below, q.order) or [F.lit(1)], q.skipped or 0, q.taken)
+        if banded:
+            below.df = nest.band(below.df, link.parent_key, self._sort(below, q.order) or [F.lit(1)], q.skipped or 0, q.taken)
         if q.aggregate:
             kind, path = q.aggregate
             side = below.df.groupBy(link.parent_key).agg(self._aggregated(below, kind, path).alias(name))
@@ -407,7 +430,7 @@ class Planner:
         else:
             values = {n: self._value(below, v, f"__c{i}") for i, (n, v) in enumerate(q.fields.items())}
             item = next(iter(values.values())) if len(values) == 1 else F.struct(*[v.alias(n) for n, v in values.items()])
-        side = nest.nested(below.df, link.parent_key, item, name, ordered or banded)
+        side = nest.nested(below.df, link.parent_key, item, name, [(F.col(nest.RANK), False)] if banded else self._ranks(below, q.order))
         scope.df = nest.attach(scope.df, collection.key, side, link.parent_key, name, F.array())  # type: ignore[arg-type]
 
     def _include(self, scope: Scope, included: tuple) -> None:
@@ -419,6 +442,8 @@ class Planner:
             array = next((a for a in collection.arrays if a.kind == "reference" and (what == a.path or what == f"{a.path}.{a.fk}" or what == f"{a.path}.{_entity(a.fk)}")), None)
             if array is not None:
                 target = self.model[array.target]  # type: ignore[index]
+                if collection.key is None:
+                    raise UnsupportedQuery(f"{what}: references in arrays need a collection with a key")
                 scope.df = nest.include_array(scope.df, collection.key, array.path, array.fk, _entity(array.fk), self.frame(target.name), target.key)  # type: ignore[arg-type]
                 continue
             if not scope.reference_in(what):

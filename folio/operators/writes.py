@@ -39,37 +39,51 @@ def insert(base: DataFrame, rows: DataFrame, key: str, at: Column) -> DataFrame:
     return base.unionByName(rows, allowMissingColumns=True)
 
 
-def _set(path: str, value: Column, df: DataFrame) -> tuple[str, Column]:
-    first, _, rest = path.partition(".")
-    return first, (F.col(first).withField(rest, value) if rest else value)
+def _set(value: Column, kind: T.DataType, steps: list[str], new: Column) -> Column:
+    """``value`` with the field that the steps lead to set; a struct that is null on the way is made, its other fields null."""
+    if not steps:
+        return new.cast(kind)
+    if not isinstance(kind, T.StructType) or steps[0] not in kind.names:
+        raise ModelError(f"there is no field {steps[0]}")
+    fields = [(_set(value[f.name], f.dataType, steps[1:], new) if f.name == steps[0] else value[f.name]).alias(f.name) for f in kind.fields]
+    return F.struct(*fields)
+
+
+def _cleared(value: Column, kind: T.DataType, steps: list[str]) -> Column:
+    """``value`` without the field; a struct that is null on the way stays null."""
+    if not steps:
+        return F.lit(None).cast(kind)
+    if not isinstance(kind, T.StructType) or steps[0] not in kind.names:
+        raise ModelError(f"there is no field {steps[0]}")
+    return F.when(value.isNotNull(), value.withField(steps[0], _cleared(value[steps[0]], kind[steps[0]].dataType, steps[1:])))
 
 
 def update(base: DataFrame, changes: DataFrame, key: str, fields: Sequence[str], clear: Sequence[str] = (), at: Column | None = None) -> DataFrame:
     """Rows of ``base`` that ``changes`` has a row for get its ``fields`` (columns named by the path, dots as __) and lose ``clear``.
 
-    Other fields stay as they are.  A key that ``changes`` repeats is an error of the caller's.
+    Other fields stay as they are; a field set inside a struct that is null makes
+    the struct.  A key that ``changes`` repeats fails when the result is read.
     """
     columns = base.columns
-    named = changes.select(F.col(key).alias("__key"), *[F.col(f.replace(".", "__")).alias(f"__new_{i}") for i, f in enumerate(fields)], F.lit(True).alias("__hit"))
+    named = changes.select(F.col(key).alias("__key"), *[F.col(f.replace(".", "__")).alias(f"__new_{i}") for i, f in enumerate(fields)])
+    news = [F.first(f"__new_{i}").alias(f"__new_{i}") for i in range(len(fields))]
+    named = named.filter("__key is not null").groupBy("__key").agg(F.count("*").alias("__times"), *news)
+    repeated = F.raise_error(F.concat(F.lit("two changes of the key "), F.col("__key").cast("string"))).cast("boolean")
+    named = named.withColumn("__hit", F.when(F.col("__times") > 1, repeated).otherwise(F.lit(True)))
     out = base.join(named, base[key] == named["__key"], "left")
     for i, path in enumerate(fields):
-        first, value = _set(path, F.col(f"__new_{i}"), out)
-        out = out.withColumn(first, F.when(F.col("__hit"), value).otherwise(F.col(first)))
+        top, *steps = path.split(".")
+        value = _set(F.col(f"`{top}`"), base.schema[top].dataType, steps, F.col(f"__new_{i}"))
+        out = out.withColumn(top, F.when(F.col("__hit"), value).otherwise(F.col(f"`{top}`")))
     for path in clear:
-        first, value = _set(path, F.lit(None).cast(_type(base.schema, path)), out)
-        out = out.withColumn(first, F.when(F.col("__hit"), value).otherwise(F.col(first)))
+        top, *steps = path.split(".")
+        value = _cleared(F.col(f"`{top}`"), base.schema[top].dataType, steps)
+        out = out.withColumn(top, F.when(F.col("__hit"), value).otherwise(F.col(f"`{top}`")))
     if at is not None and UPDATED in columns:
         out = out.withColumn(UPDATED, F.when(F.col("__hit"), at).otherwise(F.col(UPDATED)))
     return out.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def _type(schema: T.StructType, path: str) -> T.DataType:
-    kind: T.DataType = schema
-    for name in path.split("."):
-        kind = kind[name].dataType  # type: ignore[index]
-    return kind
-
-
 def set_reference(base: DataFrame, changes: DataFrame, key: str, fk: str) -> DataFrame:
     """References moved; a null in ``changes`` clears."""
     return update(base, changes, key, [fk])
@@ -90,10 +104,19 @@ def map_changed(entries: Column, removed: Column, put: Column) -> Column:
 
 
 def changes(before: DataFrame, after: DataFrame, key: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """key, change (added, removed, modified) and the names of the columns that differ, compared as JSON."""
+    """key, change (added, removed, modified) and the names of the columns that differ.
+
+    Sent are digests: of a scalar's text, of anything else's JSON.
+    """
     own = [c for c in (columns or before.columns) if c != key]
+
+    def digest(df: DataFrame, c: str) -> Column:
+        nested = isinstance(df.schema[c].dataType, T.ArrayType | T.StructType | T.MapType)
+        return F.unhex(F.md5((F.to_json(F.struct(F.col(f"`{c}`").alias("v"))) if nested else F.col(f"`{c}`").cast("string")).cast("binary")))
+
     def shot(df: DataFrame, side: str) -> DataFrame:
-        return df.select(F.col(key).alias(f"{side}_key"), *[F.to_json(F.struct(c)).alias(f"{side}_{i}") for i, c in enumerate(own)])
+        return df.select(F.col(key).alias(f"{side}_key"), *[digest(df, c).alias(f"{side}_{i}") for i, c in enumerate(own)])
+
     both = shot(before, "b").join(shot(after, "a"), F.col("b_key") == F.col("a_key"), "full_outer")
     differing = F.array_compact(F.array(*[F.when(~F.col(f"b_{i}").eqNullSafe(F.col(f"a_{i}")), F.lit(c)) for i, c in enumerate(own)]))
     kind = F.when(F.col("b_key").isNull(), "added").when(F.col("a_key").isNull(), "removed").when(F.size(differing) > 0, "modified")

@@ -19,14 +19,36 @@ def band(df: DataFrame, parent: str, order: Sequence[Column], skip: int = 0, tak
     return ranked.filter(F.col(RANK) > skip) if skip else ranked
 
 
-def nested(children: DataFrame, parent: str, item: Column, name: str, ordered: bool) -> DataFrame:
-    """One row for each parent: an array of its items, by rank where there is one."""
-    if not ordered:
-        return children.select(F.col(parent).alias(parent), item.alias(ITEM)).groupBy(parent).agg(F.collect_list(ITEM).alias(name))
-    rows = children.select(F.col(parent), F.struct(F.col(RANK).alias("r"), item.alias("v")).alias(ITEM))
-    listed = F.array_sort(F.collect_list(ITEM), lambda a, b: a["r"] - b["r"])
-    values = rows.groupBy(parent).agg(listed.alias(ITEM)).select(parent, F.filter(F.transform(F.col(ITEM), lambda x: x["v"]), lambda v: v.isNotNull()).alias(name))
-    return values
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, T.MapType | T.VariantType)
+
+
+def nested(children: DataFrame, parent: str, item: Column, name: str, order: Sequence[tuple[Column, bool]]) -> DataFrame:
+    """One row for each parent: an array of its items, sorted by ``order`` (columns, and whether they descend) where there is one.
+
+    The items are sorted as they are gathered, in the one aggregate; nulls among them are left out.
+    """
+    ranks = [F.struct(*[c.alias(f"o{i}") for i, (c, _) in enumerate(order)]).alias("r")] if order else []
+    rows = children.select(F.col(parent).alias(parent), F.struct(*ranks, item.alias("v")).alias(ITEM)).filter(F.col(f"{ITEM}.v").isNotNull())
+    listed = F.collect_list(ITEM)
+    if order:
+        kinds = rows.schema[ITEM].dataType["r"].dataType.fields  # type: ignore[index]
+        if not any(desc for _, desc in order) and _orderable(rows.schema[ITEM].dataType):
+            listed = F.sort_array(listed)
+        else:
+            listed = F.array_sort(listed, lambda a, b: _compared([(a["r"][f.name], b["r"][f.name], desc) for f, (_, desc) in zip(kinds, order, strict=True)]))
+    return rows.groupBy(parent).agg(F.transform(listed, lambda x: x["v"]).alias(name))
+
+
+def _compared(sides: list[tuple[Column, Column, bool]]) -> Column:
+    out = F.lit(0)
+    for a, b, desc in reversed(sides):
+        out = F.when(a < b, F.lit(1 if desc else -1)).when(a > b, F.lit(-1 if desc else 1)).otherwise(out)
+    return out
 
 
 def attach(parents: DataFrame, key: str, side: DataFrame, side_key: str, name: str, empty: Column) -> DataFrame:

@@ -47,6 +47,12 @@ def literal(value: Any, kind: T.DataType | None, values: tuple[str, ...] | None
     return F.lit(value)
 
 
+def _tests_array(p: P.Predicate) -> bool:
+    if isinstance(p, P.All | P.AnyOf):
+        return any(map(_tests_array, p.parts))
+    return isinstance(p, P.Contains) or isinstance(p, P.Negated) and _tests_array(p.part)
+
+
 class Scope:
     """Paths of one collection over one DataFrame.
 
@@ -133,7 +139,7 @@ class Scope:
                 return self._filterable(inner.path) == F.lit(False)
             if isinstance(inner, P.Negated):
                 return self.predicate(inner.part)
-            if isinstance(inner, P.Contains) and self.strict:
+            if self.strict and _tests_array(inner):
                 raise UnsupportedQuery("the negation of an array test is not supported")
             return ~self.predicate(inner)
         if isinstance(p, P.Compare):

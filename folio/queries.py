@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.functions.predicates import field, if_set
+from folio.model import Collection, Model, SubCollection
 from folio.operators import writes as W
-from folio.operators.query import cast, child
+from folio.operators.query import cast, child, query
+from folio.sources.store import ParquetStore
 from folio.tables import MODEL, documents, frames
 
 _found: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
@@ -169,9 +171,6 @@ def child_top_k(spark, sf_dir):
 
 @_query("select n_nationkey as k, c_custkey, cast(count(o_orderkey) as int) as n from nation join customer on c_nationkey = n_nationkey left join orders on o_custkey = c_custkey group by all")
 def child_nested_levels(spark, sf_dir):
-    from folio.model import Collection, Model, SubCollection
-    from folio.operators.query import query
-
     model = Model(Collection("nation", "n_nationkey", children=(SubCollection("customers", "customer", "c_nationkey"),)), Collection("customer", "c_custkey", children=(SubCollection("orders", "orders", "o_custkey"),)), Collection("orders", "o_orderkey"))
     kids = child("customers").select("c_custkey", ids=child("orders").select("o_orderkey"))
     nested = query(model, frames(spark, sf_dir), "nation").select("n_nationkey", kids=kids).df()
@@ -216,7 +215,94 @@ def embedded_array_reference_include(spark, sf_dir):
     return items.select("o_orderkey", "i.part_id", F.col("i.part.p_name").alias("p_name"))
 
 
+@_query("select c_custkey, o_orderkey, l_partkey as part_id, p_name from customer join orders on o_custkey = c_custkey join lineitem on l_orderkey = o_orderkey left join part on l_partkey = p_partkey")
+def child_embedded_array_reference(spark, sf_dir):
+    nested = documents(spark, sf_dir, "buyer").include(child("baskets").include("items.part")).df()
+    items = nested.select("c_custkey", F.explode("baskets").alias("b")).select("c_custkey", "b.o_orderkey", F.explode("b.items").alias("i"))
+    return items.select("c_custkey", "o_orderkey", "i.part_id", F.col("i.part.p_name").alias("p_name"))
+
+
+@_query("select o_orderkey, o_totalprice from orders where o_custkey = 7")
+def children_of_one(spark, sf_dir):
+    return ParquetStore(spark, sf_dir, MODEL).children("customer", "orders", 7).select("o_orderkey", "o_totalprice")
+
+
+@_query("select c_custkey, o_orderkey from customer left join (select * from orders where o_orderkey = 77) on o_custkey = c_custkey")
+def include_child_by_id(spark, sf_dir):
+    nested = documents(spark, sf_dir, "customer").include(child("orders").where(f("o_orderkey") == 77)).df()
+    return nested.select("c_custkey", F.explode_outer("orders").alias("o")).select("c_custkey", "o.o_orderkey")
+
+
+@_query("select c_custkey, o_orderkey from (select o_custkey as c_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_totalprice, o_orderkey) as rn from orders) where rn > 4")
+def include_skip(spark, sf_dir):
+    nested = documents(spark, sf_dir, "customer").include(child("orders").order_by("o_totalprice").skip(4)).df()
+    return nested.select("c_custkey", F.explode("orders").alias("o")).select("c_custkey", "o.o_orderkey")
+
+
+@_query("select n_nationkey as k, c_custkey, o_orderkey, cast(count(l_orderkey) as int) as n from nation join customer on c_nationkey = n_nationkey join orders on o_custkey = c_custkey left join lineitem on l_orderkey = o_orderkey group by all")
+def include_three_levels(spark, sf_dir):
+    model = Model(
+        Collection("nation", "n_nationkey", children=(SubCollection("customers", "customer", "c_nationkey"),)),
+        Collection("customer", "c_custkey", children=(SubCollection("orders", "orders", "o_custkey"),)),
+        Collection("orders", "o_orderkey", children=(SubCollection("lines", "lineitem", "l_orderkey"),)),
+        Collection("lineitem", None),
+    )
+    nested = query(model, frames(spark, sf_dir), "nation").include(child("customers").include(child("orders").include(child("lines")))).df()
+    below = nested.select(F.col("n_nationkey").alias("k"), F.explode("customers").alias("c")).select("k", "c.c_custkey", F.explode("c.orders").alias("o"))
+    return below.select("k", "c_custkey", "o.o_orderkey", F.size("o.lines").alias("n"))
+
+
+@_query("select c_custkey, o_orderkey, cast(rn as int) as rn from (select o_custkey as c_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderstatus desc, o_totalprice, o_orderkey) - 1 as rn from orders)")
+def include_children_ordered(spark, sf_dir):
+    nested = documents(spark, sf_dir, "customer").include(child("orders").order_by("o_orderstatus", desc=True).then_by("o_totalprice")).df()
+    return nested.select("c_custkey", F.posexplode("orders").alias("rn", "o")).select("c_custkey", "o.o_orderkey", "rn")
+
+
+# arrays, maps and points by kind
+def _elements(path: str, *columns: str) -> Callable:
+    return lambda spark, sf_dir: documents(spark, sf_dir, "order_lists").select("o_orderkey", path).df().select("o_orderkey", F.explode(path).alias("e")).selectExpr("o_orderkey", *columns)
+
+
+_L = "from lineitem"
+_found["select_int_array"] = _elements("quantities", "e as quantity"), f"select l_orderkey as o_orderkey, cast(l_quantity as int) as quantity {_L}"
+_found["select_double_array"] = _elements("discounts", "e as discount"), f"select l_orderkey as o_orderkey, l_discount as discount {_L}"
+_found["select_enum_array"] = _elements("flags", "e as flag"), f"select l_orderkey as o_orderkey, l_returnflag as flag {_L}"
+_found["select_geo_array"] = _elements("spots", "e.*"), f"select l_orderkey as o_orderkey, l_discount as latitude, l_tax as longitude {_L}"
+_found["select_struct_array"] = _elements("lots", "e.*"), f"select l_orderkey as o_orderkey, l_partkey as part_id, l_linenumber as line {_L}"
+_doc("array_contains_int", "order_lists", lambda q: q.where(f("quantities").contains(7)).select("o_orderkey"), f"select distinct l_orderkey as o_orderkey {_L} where cast(l_quantity as int) = 7")
+_doc("array_contains_any_double", "order_lists", lambda q: q.where(f("discounts").contains_any([0.05, 0.07])).select("o_orderkey"), f"select distinct l_orderkey as o_orderkey {_L} where l_discount in (0.05, 0.07)")
+_doc("array_contains_enum", "order_lists", lambda q: q.where(f("flags").contains(2)).select("o_orderkey"), f"select distinct l_orderkey as o_orderkey {_L} where l_returnflag = 'R'")
+_doc("select_point", "place", lambda q: q.where(f("spot.latitude") > 2).select("s_suppkey", "spot.latitude", "spot.longitude", inner="address.spot.latitude"), "select s_suppkey, s_acctbal / 1000 as latitude, cast(s_nationkey as double) as longitude, s_acctbal as \"inner\" from supplier where s_acctbal / 1000 > 2")
+
+
+@_query("select s_suppkey, s_nationkey as beds, 1 as fields from supplier")
+def select_map_of_structs(spark, sf_dir):
+    rooms = documents(spark, sf_dir, "place").select("s_suppkey", "rooms").df()
+    return rooms.select("s_suppkey", F.col("rooms.first.beds").alias("beds"), F.lit(len(rooms.schema["rooms"].dataType.valueType.fields)).alias("fields"))
+
+
+@_query("select event_id, 'k:' || json_extract_string(props, '$.k') as props from events")
+def select_map(spark, sf_dir):
+    rows = documents(spark, sf_dir, "event").select("event_id", "props").df()
+    return rows.select("event_id", F.array_join(F.transform(F.map_entries("props"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))), ",").alias("props"))
+
+
 # writes: the state after
+@_query("select c_custkey, case when c_acctbal > 0 then c_acctbal end as balance, case when c_custkey % 3 = 0 then 'SET' when c_acctbal > 0 then c_mktsegment end as segment, case when c_acctbal > 0 and c_custkey % 3 > 0 then c_nationkey end as nation from customer")
+def update_nested_null(spark, sf_dir):
+    base = frames(spark, sf_dir)("thin_profile")
+    changes = base.filter("c_custkey % 3 = 0").select("c_custkey", F.lit("SET").alias("account__group__segment"))
+    after = W.update(base, changes, "c_custkey", ["account.group.segment"], clear=["account.group.nation"])
+    return after.select("c_custkey", "account.balance", "account.group.segment", "account.group.nation")
+
+
+@_query("select p_partkey, case when p_size = 7 then 'one|two' else array_to_string(string_split(p_name, ' '), '|') end as tags from part")
+def update_array_replace(spark, sf_dir):
+    base = frames(spark, sf_dir)("part_tagged")
+    changes = base.filter("p_size = 7").select("p_partkey", F.array(F.lit("one"), F.lit("two")).alias("tags"))
+    return W.update(base, changes, "p_partkey", ["tags"]).select("p_partkey", F.array_join("tags", "|").alias("tags"))
+
+
 @_query("select o_orderkey, case when o_orderstatus = 'P' then 'F' else o_orderstatus end as o_orderstatus, case when o_orderstatus = 'P' then null else o_orderpriority end as o_orderpriority, o_totalprice from orders")
 def update_partial(spark, sf_dir):
     base = frames(spark, sf_dir)("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
@@ -237,11 +323,11 @@ def update_array_diff(spark, sf_dir):
     return base.select("p_partkey", F.array_join(W.array_changed(F.col("tags"), F.array(F.lit("blue")), F.array(F.lit("new"))), "|").alias("tags"))
 
 
-@_query("select event_id, 1 as n, 5 as seen from events")
+@_query("select event_id, 1 as n, 5 as seen, false as has_k, 1 as size from events")
 def update_map_diff(spark, sf_dir):
     base = frames(spark, sf_dir)("events_mapped")
     after = W.map_changed(F.col("props"), F.array(F.lit("k")), F.create_map(F.lit("seen"), F.lit(5)))
-    return base.select("event_id", F.size(F.map_filter(after, lambda k, _: k == "seen")).alias("n"), F.element_at(after, "seen").alias("seen"))
+    return base.select("event_id", F.size(F.map_filter(after, lambda k, _: k == "seen")).alias("n"), F.element_at(after, "seen").alias("seen"), F.map_contains_key(after, "k").alias("has_k"), F.size(after).alias("size"))
 
 
 @_query("select c_custkey, case when c_nationkey = 3 then null when c_nationkey = 4 then 5 else c_nationkey end as c_nationkey from customer")
@@ -258,20 +344,20 @@ def insert_documents(spark, sf_dir):
     return W.insert(base, new, "s_suppkey", F.lit("2024-01-01").cast("timestamp")).select("s_suppkey", "s_name", F.col(W.CREATED).isNotNull().alias("created"))
 
 
-@_query("select 'customer' as collection, count(*) as n from customer where c_nationkey <> 3 union all select 'orders', count(*) from orders where o_custkey not in (select c_custkey from customer where c_nationkey = 3) union all select 'lineitem', count(*) from lineitem where l_orderkey not in (select o_orderkey from orders join customer on o_custkey = c_custkey where c_nationkey = 3)")
+@_query("select 'customer' as collection, count(*) as n, cast(sum(c_custkey) as bigint) as keys from customer where c_nationkey <> 3 union all select 'orders', count(*), cast(sum(o_orderkey) as bigint) from orders where o_custkey not in (select c_custkey from customer where c_nationkey = 3) union all select 'lineitem', count(*), cast(sum(l_orderkey) as bigint) from lineitem where l_orderkey not in (select o_orderkey from orders join customer on o_custkey = c_custkey where c_nationkey = 3)")
 def delete_cascade(spark, sf_dir):
     get = frames(spark, sf_dir)
     after = W.delete_cascade(MODEL, get, "customer", get("customer").filter("c_nationkey = 3").select("c_custkey"))
-    counts = [after[n].agg(F.count("*").alias("n")).select(F.lit(n).alias("collection"), "n") for n in ("customer", "orders", "lineitem")]
+    counts = [after[n].agg(F.count("*").alias("n"), F.sum(key).alias("keys")).select(F.lit(n).alias("collection"), "n", "keys") for n, key in (("customer", "c_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"))]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-@_query("select s_suppkey, case when s_suppkey > 1000000 then 'added' when s_nationkey = 2 then 'removed' else 'modified' end as change from (select s_suppkey, s_nationkey, s_acctbal from supplier union all select s_suppkey + 1000000, 0, 0 from supplier where s_nationkey = 1) where s_suppkey > 1000000 or s_nationkey = 2 or (s_nationkey <> 2 and s_acctbal < 0)")
+@_query("select s_suppkey, case when s_suppkey > 1000000 then 'added' when s_nationkey = 2 then 'removed' else 'modified' end as change, case when s_suppkey <= 1000000 and s_nationkey <> 2 then 's_acctbal' end as columns from (select s_suppkey, s_nationkey, s_acctbal from supplier union all select s_suppkey + 1000000, 0, 0 from supplier where s_nationkey = 1) where s_suppkey > 1000000 or s_nationkey = 2 or (s_nationkey <> 2 and s_acctbal < 0)")
 def detect_changes(spark, sf_dir):
     before = frames(spark, sf_dir)("supplier")
     after = before.filter("s_nationkey <> 2").withColumn("s_acctbal", F.greatest("s_acctbal", F.lit(0.0)))
     after = after.unionByName(before.filter("s_nationkey = 1").withColumn("s_suppkey", F.col("s_suppkey") + 1000000))
-    return W.changes(before, after, "s_suppkey").select("s_suppkey", "change")
+    return W.changes(before, after, "s_suppkey").select("s_suppkey", "change", F.array_join("columns", ",").alias("columns"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

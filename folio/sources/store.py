@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,13 @@ from folio.operators.query import DocQuery, query
 
 
 class ParquetStore:
-    """Reads ``{folder}/{table}.parquet``; writes whole new states beside the old and swaps them by rename."""
+    """Reads ``{folder}/{table}.parquet``; writes whole new states beside the old and swaps them by rename.
 
-    def __init__(self, spark: SparkSession, folder: str, model: Model):
-        self.spark, self.folder, self.model = spark, folder.rstrip("/"), model
+    ``on_command`` is told each write.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, model: Model, on_command: Callable[[str], None] | None = None):
+        self.spark, self.folder, self.model, self.on_command = spark, folder.rstrip("/"), model, on_command
 
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}.parquet"
@@ -49,18 +53,54 @@ class ParquetStore:
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def append(self, name: str, rows: DataFrame) -> None:
+        self._said(f"append {name}")
         rows.write.mode("append").parquet(self.path(self.model[name].table or name))
 
     def replace(self, name: str, state: DataFrame) -> None:
-        """Write the new state in full, then swap it in: readers see the old one or the new."""
-        table = self.model[name].table or name
-        jvm = self.spark._jvm.org.apache.hadoop.fs
-        new, old = f"{self.folder}/.{table}-{uuid.uuid4().hex}", f"{self.folder}/.{table}-old-{uuid.uuid4().hex}"
-        state.write.parquet(new)
-        target = jvm.Path(self.path(table))
-        fs = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if fs.exists(target):
-            fs.rename(target, jvm.Path(old))
-        fs.rename(jvm.Path(new), target)
-        fs.delete(jvm.Path(old), True)
-        self.spark.catalog.refreshByPath(self.path(table))
+        """Write the new state in full, then swap it in."""
+        self.commit({name: state})
+
+    def commit(self, states: Mapping[str, DataFrame]) -> None:
+        """New states of several collections, all or none.
+
+        All are written in full beside the old ones first.  Then each is swapped in
+        by two checked renames; if one fails, those done are undone and the old
+        states are where they were.  The old ones are deleted last.  Between the two
+        renames of a collection a reader may find none; it never finds half of one.
+        """
+        jvm, run = self.spark._jvm.org.apache.hadoop.fs, uuid.uuid4().hex
+        names = {name: self.model[name].table or name for name in states}
+        fs = jvm.Path(self.folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        new = {name: jvm.Path(f"{self.folder}/.{table}-{run}") for name, table in names.items()}
+        old = {name: jvm.Path(f"{self.folder}/.{table}-old-{run}") for name, table in names.items()}
+        target = {name: jvm.Path(self.path(table)) for name, table in names.items()}
+        done: list[tuple[Any, Any]] = []
+
+        def moved(source: Any, to: Any) -> None:
+            if not fs.rename(source, to):
+                raise OSError(f"{source} could not be renamed to {to}")
+            done.append((source, to))
+
+        try:
+            for name, state in states.items():
+                state.write.parquet(str(new[name]))
+            for name in states:
+                if fs.exists(target[name]):
+                    moved(target[name], old[name])
+                moved(new[name], target[name])
+        except Exception:
+            for source, to in reversed(done):
+                fs.rename(to, source)
+            for path in new.values():
+                fs.delete(path, True)
+            self._said(f"rollback {', '.join(states)}")
+            raise
+        for path in old.values():
+            fs.delete(path, True)
+        for table in names.values():
+            self.spark.catalog.refreshByPath(self.path(table))
+        self._said(f"commit {', '.join(states)}")
+
+    def _said(self, command: str) -> None:
+        if self.on_command:
+            self.on_command(command)

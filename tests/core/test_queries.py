@@ -23,7 +23,7 @@ def duck():
 def rows(frame):
     frame = frame[sorted(frame.columns)]
     def plain(v):
-        return None if v is None or v != v or str(v) in ("<NA>", "NaT") else float(v) if isinstance(v, int | float) or type(v).__module__ == "numpy" and not isinstance(v, bool | str) and hasattr(v, "dtype") and v.dtype.kind in "iuf" else str(v)
+        return None if v is None or str(v) in ("<NA>", "NaT") or v != v else float(v) if isinstance(v, int | float) or type(v).__module__ == "numpy" and not isinstance(v, bool | str) and hasattr(v, "dtype") and v.dtype.kind in "iuf" else str(v)
     return list(frame.columns), sorted((tuple(plain(v) for v in r) for r in frame.astype(object).itertuples(index=False)), key=str)
 
 
