@@ -13,10 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; only where that is unset (tests, a laptop) is a temporary one made."""
+    """The session's ``spark.checkpoint.dir``; where that is unset, a temporary folder on a local master, and an error on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        spark.sparkContext.setCheckpointDir(folder := tempfile.mkdtemp(prefix="folio-checkpoint-"))
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="folio-checkpoint-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
