@@ -85,3 +85,35 @@ def test_filters_keep_rows_as_they_are(spark):
     assert sorted(str(r.doc_id) for r in one) == ["1", "2", "None"]
     assert simhash.representatives(df.limit(0)).collect() == []
     assert suffix_dedup.without_repeats(df.filter(F.lit(False))).collect() == []
+
+
+def test_empty_tables_and_extra_columns(spark, tmp_path, folder):
+    path, rows = folder
+    docs = spark.createDataFrame(rows, SCHEMA)
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert C.run(spark, f"{tmp_path}/none").collect() == []
+    # all go: a corpus of short texts only
+    docs.limit(3).withColumn("text", F.lit("short")).write.parquet(f"{tmp_path}/short/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/short/labels.parquet")
+    assert C.run(spark, f"{tmp_path}/short").collect() == []
+    # columns whose names the operators use themselves
+    names = ["key", "tag", "content", "score", "words", "fp", "deal", "h", "y", "kept", "row_id", "length"]
+    clash = docs.limit(40).withColumns({n: F.lit("x") for n in names})
+    for name, stage in C.STAGES[:-1]:
+        assert stage(spark, clash, path).columns == C.COLUMNS, name
+    assert {r.doc_id for r in C.STAGES[-1][1](spark, clash, path).collect()} == {r[0] for r in rows[:40]}
+
+
+def test_repeated_and_null_ids_in_every_stage(spark, folder):
+    path, rows = folder
+    texts = [r[1] for r in rows if r[0] % 8 and r[0] % 50 != 1 and r[0] < 60 and r[0] not in (13, 14)]
+    own = [(None if i % 3 == 0 else 5000 + i // 2, t, "en", "src", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(own, SCHEMA)
+    for name, stage in C.STAGES[:-1]:
+        got = sorted(r.text for r in stage(spark, docs, path).collect())
+        assert len(got) == len(texts), name
+        if name != "suffix_array_dedup":
+            assert got == sorted(texts), name
+    pieces = C.STAGES[-1][1](spark, docs, path).collect()
+    assert sum(r.piece == 0 for r in pieces) == len(texts)
