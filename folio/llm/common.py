@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +31,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver forget what nothing refers to any more: shuffles that a checkpoint has replaced are then removed from the executors' disks."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def fold(id_col: str, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``: the split that the held-out contracts name."""
     return F.crc32(F.col(id_col).cast("string")) % F.lit(n)

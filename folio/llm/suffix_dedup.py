@@ -20,7 +20,9 @@ window that also starts anywhere else (same document included) is marked.
    last level an anchor is the window itself and counting decides it.
 
 Shuffled are anchors (one per some 80 bytes), contents that are neither alone
-nor copies, and each text once.  No step pairs documents or segments.
+nor copies, and each text twice: to cut contents from it, and marks out of it.
+What a shuffle has brought is written by a checkpoint, and the shuffle let go
+of before the next one.  No step pairs documents or segments.
 
 Defined cases: a null text is empty; nothing is marked in texts under ``length``
 bytes; repeated rows are documents of their own, so long ones lose all bytes;
@@ -42,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.common import checkpointed
+from folio.llm.common import checkpointed, release
 
 LENGTH = 200
 #: Sizes of the k-grams that levels anchor by, as parts of ``length`` (the last: the window itself).
@@ -57,7 +59,7 @@ CHUNK = 1 << 19
 SUMMED = 400_000
 
 #: Names of passing columns that no table is expected to have.
-_STARTS, _COUNTS = "__repeat_starts__", "__repeat_counts__"
+_CONTENT, _STARTS, _COUNTS = "__repeat_content__", "__repeat_starts__", "__repeat_counts__"
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
@@ -361,34 +363,38 @@ def _unique(df: DataFrame, id_col: str) -> bool:
 
 
 class Texts:
-    """Rows as key, tag, content and ``whole_row``, and the different (key, tag, content) among them, dealt by key and tag.
+    """Rows as key, tag, content and ``others`` (the other columns), and the different (key, tag, content) among them.
 
     The key is the id and the tag 0; where ids repeat or lack, the tag is a hash
     of the text, so that only rows with one id and one text share their marks,
     which are the same.
     """
 
-    def __init__(self, df: DataFrame, id_col: str, text_col: str):
-        self.unique = _unique(df, id_col)
-        tag = F.lit(0).cast("long") if self.unique else F.xxhash64(text_col)
-        key = F.coalesce(F.col(id_col).try_cast("long"), F.lit(0))
-        self.rows = df.select(key.alias("key"), tag.alias("tag"), F.col(text_col).cast("binary").alias("content"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole_row"))
-        texts = self.rows.select("key", "tag", "content")
-        self.dealt = texts.repartition("key", "tag") if self.unique else texts.dropDuplicates(["key", "tag"])
+    def __init__(self, df: DataFrame, id_col: str, text_col: str, others: tuple[str, ...] = ()):
+        unique = _unique(df, id_col)
+        self.keys = ["key"] if unique else ["key", "tag"]
+        key = F.coalesce(F.col(id_col).try_cast("long"), F.lit(0)).alias("key")
+        tag = (F.lit(0).cast("long") if unique else F.xxhash64(text_col)).alias("tag")
+        content = F.col(text_col).cast("binary").alias("content")
+        named = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("others")] if others else []
+        self.source = df.select(key, tag, content)
+        self.texts = df.select(key, content) if unique else self.source.dropDuplicates(self.keys)
+        self.rows = df.select(key, *([] if unique else [tag]), content, *named, F.col(id_col).try_cast("long").alias("id"))
 
-    def marks(self, length: int, crowded: int) -> DataFrame:
-        """key, tag, and the starts (from) and numbers (n) of its runs of windows that repeat."""
-        found = repeated_windows(self.rows, self.dealt, length, crowded)
-        return found.groupBy("key", "tag").agg(F.collect_list("start").alias("from"), F.collect_list("n").alias("n"))
+    def marked(self, length: int, crowded: int) -> DataFrame:
+        """The rows with the starts (from) and numbers (n) of their runs of windows that repeat."""
+        found = repeated_windows(self.source, self.texts, length, crowded)
+        return self.rows.join(found.groupBy(*self.keys).agg(F.collect_list("start").alias("from"), F.collect_list("n").alias("n")), self.keys, "left")
 
 
 def repeated_windows(rows: DataFrame, texts: DataFrame, length: int = LENGTH, crowded: int = CROWDED) -> DataFrame:
-    """Runs of window starts that repeat: key, tag, start, n.  ``rows``: keyed texts; ``texts``: the different ones, dealt by key and tag."""
+    """Runs of window starts that repeat: key, tag, start, n.  ``rows``: keyed texts; ``texts``: the different ones, without a tag where keys do."""
     source = rows.select("key", F.lit(0).cast("long").alias("base"), F.lit(1).cast("long").alias("weight"), "content", "tag")
     found = None
     for level, share in enumerate(LEVELS):
         k = min(length, max(1, round(share * length)))
         groups = checkpointed(_groups(source, length, k))
+        release(groups.sparkSession)
         whole = groups.filter("c > 1").select("u", "v")
         # a content with copies is marked whole already
         every = source.filter("weight = 1").mapInArrow(anchored(length, k, summed=False), SEGMENTS).join(whole, ["u", "v"], "left_semi")
@@ -396,13 +402,15 @@ def repeated_windows(rows: DataFrame, texts: DataFrame, length: int = LENGTH, cr
         if k < length:
             places = groups.filter("contents > 1").withColumnRenamed("start", "from")
             if level == 0:
-                taken = places.join(texts.withColumnRenamed("content", "text"), ["key", "tag"]).withColumn("at", F.col("from"))
+                taken = places.join(texts.withColumnRenamed("content", "text"), [c for c in ("key", "tag") if c in texts.columns]).withColumn("at", F.col("from"))
             else:  # a piece of text may hold several of a document's segments
                 taken = places.join(source.selectExpr("key", "tag", "base", "content as text"), ["key", "tag"]).withColumn("at", F.col("from") - F.col("base")).filter(f"at >= 0 and at + n + {length - 1} <= length(text)")
                 taken = taken.dropDuplicates(["a", "u", "v"])
             # written once: what the index takes and what the next level takes are both read from it
-            taken = checkpointed(taken.selectExpr("a", "key", "tag", "`from`", "c", f"substring(text, cast(at + 1 as int), n + {length - 1}) as content", "contents"))
-            few = taken.filter(F.col("contents") <= crowded).drop("contents")
+            content = F.expr(f"substring(text, cast(at + 1 as int), n + {length - 1})").alias("content")
+            taken = checkpointed(taken.select("a", "key", "tag", "from", "c", content, "contents"))
+            release(groups.sparkSession)
+            few = taken.filter(F.col("contents") <= crowded).select("a", "key", "tag", "from", "c", "content")
             marks = marks.unionByName(few.repartition("a").sortWithinPartitions("a").mapInArrow(indexed(length), MARKS))
         found = marks if found is None else found.unionByName(marks)
         if k == length or groups.filter(F.col("contents") > crowded).isEmpty():
@@ -437,9 +445,6 @@ def spans_of(starts: list[int], counts: list[int], length: int) -> tuple[np.ndar
 def dedup(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", outputs: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans", "kept_sha256"), crowded: int = CROWDED) -> DataFrame:
     """One row per document: its id, and columns of ``OUTPUTS``: removed spans of bytes, what is kept, or digests of both."""
     docs = Texts(df, id_col, text_col)
-    marks = docs.marks(length, crowded)
-    # one row for each key: the exchange that the index read from serves again
-    dealt = docs.dealt.withColumn("id", F.col("key")) if docs.unique else docs.rows.select("key", "tag", "content", F.col(f"whole_row.`{id_col}`").try_cast("long").alias("id"))
     schema = pa.schema([("key", pa.int64()), *[(k, OUTPUTS[k][1]) for k in outputs]])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -458,7 +463,7 @@ def dedup(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col:
                         own.append(values[k])
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, type=OUTPUTS[k][1]) for c, k in zip(out, outputs, strict=True)]], schema=schema)
 
-    done = dealt.join(marks, ["key", "tag"], "left").select("id", "content", "from", "n").mapInArrow(work, "key long, " + ", ".join(f"{k} {OUTPUTS[k][0]}" for k in outputs))
+    done = docs.marked(length, crowded).select("id", "content", "from", "n").mapInArrow(work, "key long, " + ", ".join(f"{k} {OUTPUTS[k][0]}" for k in outputs))
     return done.withColumnRenamed("key", id_col)
 
 
@@ -467,25 +472,23 @@ def without_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
 
     Texts without a mark, null ones included, stay as they are.
     """
-    docs = Texts(df, id_col, text_col)
-    marks = docs.marks(length, crowded).withColumnsRenamed({"from": _STARTS, "n": _COUNTS})
-    joined = docs.rows.select("key", "tag", "whole_row").join(marks, ["key", "tag"], "left").select("whole_row.*", _STARTS, _COUNTS)
-    at = df.columns.index(text_col)
+    others = [c for c in df.columns if c != text_col]
+    docs = Texts(df, id_col, text_col, tuple(others))
+    joined = docs.marked(length, crowded).select("others.*", F.col("content").alias(_CONTENT), F.col("from").alias(_STARTS), F.col("n").alias(_COUNTS))
+    columns, at = list(df.columns), df.columns.index(text_col)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(0, batch.num_rows, 1024):
                 part = batch.slice(row, 1024)
                 texts = []
-                for text, start, n in zip(*(part.column(i).to_pylist() for i in (at, len(df_columns), len(df_columns) + 1)), strict=True):
+                for data, start, n in zip(*(part.column(len(others) + i).to_pylist() for i in range(3)), strict=True):
                     if start:
-                        data = text.encode()
                         first, last = spans_of(start, n, length)
-                        text = b"".join(data[a:b] for a, b in zip([0, *last.tolist()], [*first.tolist(), len(data)], strict=True)).decode("utf-8", "ignore")
-                    texts.append(text)
-                columns = [part.column(i) for i in range(len(df_columns))]
-                columns[at] = pa.array(texts, type=columns[at].type)
-                yield pa.RecordBatch.from_arrays(columns, names=df_columns)
+                        data = b"".join(data[a:b] for a, b in zip([0, *last.tolist()], [*first.tolist(), len(data)], strict=True))
+                    texts.append(None if data is None else data.decode("utf-8", "ignore"))
+                own = [part.column(i) for i in range(len(others))]
+                own.insert(at, pa.array(texts, type=pa.string()))
+                yield pa.RecordBatch.from_arrays(own, names=columns)
 
-    df_columns = list(df.columns)
     return joined.mapInArrow(work, df.schema)
