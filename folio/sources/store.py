@@ -49,8 +49,10 @@ class ParquetStore:
 
     def can_connect(self) -> bool:
         """Whether the folder is there."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return self.file_system().exists(self.spark._jvm.org.apache.hadoop.fs.Path(self.folder))
+
+    def file_system(self) -> Any:
+        return self.spark._jvm.org.apache.hadoop.fs.Path(self.folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def append(self, name: str, rows: DataFrame) -> None:
         self._said(f"append {name}")
@@ -70,7 +72,7 @@ class ParquetStore:
         """
         jvm, run = self.spark._jvm.org.apache.hadoop.fs, uuid.uuid4().hex
         names = {name: self.model[name].table or name for name in states}
-        fs = jvm.Path(self.folder).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs = self.file_system()
         new = {name: jvm.Path(f"{self.folder}/.{table}-{run}") for name, table in names.items()}
         old = {name: jvm.Path(f"{self.folder}/.{table}-old-{run}") for name, table in names.items()}
         target = {name: jvm.Path(self.path(table)) for name, table in names.items()}

@@ -3,11 +3,12 @@ import enum
 import uuid
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from folio.errors import AmbiguousResult, EmptyResult, ModelError, UnsupportedQuery
 from folio.functions.predicates import field, if_set
-from folio.model import ArrayOf, Collection, MapOf, Model, Reference, SubCollection
+from folio.model import ArrayOf, Collection, GeoPoint, MapOf, Model, Reference, SubCollection
 from folio.operators import writes as W
 from folio.operators.query import cast, child, query
 from folio.sources.store import ParquetStore
@@ -238,3 +239,108 @@ def test_plans(spark):
     kids = plan(documents(spark, "/root/testdata/sf0.001", "customer").select("c_custkey", k=child("orders").order_by("o_totalprice").take(2).select("o_orderkey")))
     assert "WindowGroupLimit" in kids
     assert "Join" not in plan(documents(spark, "/root/testdata/sf0.001", "customer").where(f("nation.n_nationkey") == 3))
+
+
+def test_nested_updates_and_repeated_changes(spark):
+    base = spark.createDataFrame([(1, None), (2, ("b", ("u", 2)))], "id int, s struct<n:string,in:struct<p:string,q:int>>")
+    changes = spark.createDataFrame([(1, "new"), (2, "two"), (None, "none")], "id int, s__in__p string")
+    got = {r.id: r.s for r in W.update(base, changes, "id", ["s.in.p"]).collect()}
+    assert got[1] == (None, ("new", None)) and got[2] == ("b", ("two", 2))
+    cleared = {r.id: r.s for r in W.update(base, changes, "id", [], clear=["s.in.q"]).collect()}
+    assert cleared[1] is None and cleared[2] == ("b", ("u", None))
+    with pytest.raises(Exception, match="two changes of the key"):
+        W.update(base, changes.union(changes), "id", ["s.in.p"]).collect()
+    with pytest.raises(ModelError):
+        W.update(base, changes.withColumnRenamed("s__in__p", "s__x"), "id", ["s.x"])
+
+
+def test_commit_is_all_or_nothing(spark, tmp_path):
+    said = []
+    for name in ("t", "u"):
+        spark.createDataFrame([(1, name)], "id int, name string").write.parquet(f"{tmp_path}/{name}.parquet")
+    store = ParquetStore(spark, str(tmp_path), Model(Collection("t", "id"), Collection("u", "id")), said.append)
+    new = spark.createDataFrame([(2, "new")], "id int, name string")
+    store.commit({"t": new, "u": new})
+    assert [(r.id, r.name) for n in ("t", "u") for r in store.frame(n).collect()] == [(2, "new")] * 2
+    bad = new.withColumn("name", F.raise_error(F.lit("broken")))
+    with pytest.raises(Exception, match="broken"):
+        store.commit({"t": new.withColumn("id", F.lit(3)), "u": bad})
+    assert [r.id for n in ("t", "u") for r in store.frame(n).collect()] == [2, 2]
+    assert said == ["commit t, u", "rollback t, u"]
+    import os
+    assert sorted(n for n in os.listdir(tmp_path) if not n.endswith(".crc")) == ["t.parquet", "u.parquet"]
+
+
+def test_failed_swap_puts_the_old_state_back(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "old")], "id int, name string").write.parquet(f"{tmp_path}/t.parquet")
+    store = ParquetStore(spark, str(tmp_path), Model(Collection("t", "id")))
+
+    class Broken:
+        """A file system whose second rename fails."""
+
+        def __init__(self, own):
+            self.own, self.turn = own, 0
+
+        def rename(self, a, b):
+            self.turn += 1
+            return False if self.turn == 2 else self.own.rename(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+    monkeypatch.setattr(store, "file_system", lambda f=store.file_system: Broken(f()))
+    with pytest.raises(OSError, match="could not be renamed"):
+        store.replace("t", spark.createDataFrame([(2, "new")], "id int, name string"))
+    assert [r.name for r in store.frame("t").collect()] == ["old"]
+
+
+def test_late_updates_of_a_stream(spark, tmp_path):
+    from folio.streaming.changes import apply_updates
+
+    spark.createDataFrame([(1, "a", 5), (2, "b", 1)], "id int, name string, v int").write.parquet(f"{tmp_path}/t.parquet")
+    store = ParquetStore(spark, str(tmp_path), Model(Collection("t", "id")))
+    spark.createDataFrame([(1, "late", 4), (2, "new", 2), (9, "unknown", 1)], "id int, name string, v int").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("id int, name string, v int").parquet(f"{tmp_path}/in")
+    for run in ("x", "y"):  # the second run sees the same updates again
+        apply_updates(store, "t", stream, ["name"], "v").option("checkpointLocation", f"{tmp_path}/{run}").trigger(availableNow=True).start().awaitTermination()
+        assert {(r.id, r.name, r.v) for r in store.frame("t").collect()} == {(1, "a", 5), (2, "new", 2)}
+
+
+def test_shapes(spark):
+    df = spark.createDataFrame([(1, 1.5, 2, [((3.0, 4.0), "s")], {"k": ("v", "s")}), (2, None, 2, None, None)], "id int, lat double, lon int, spots array<struct<at:struct<latitude:double,longitude:double>,secret:string>>, m map<string,struct<a:string,secret:string>>")
+    model = Model(Collection("c", "id", arrays=(ArrayOf("spots", "embedded", ignore=("secret",)),), maps=(MapOf("m", ignore=("secret",)),), points=(GeoPoint("spot", "lat", "lon"), GeoPoint("spots.at"))))
+    rows = {r.id: r for r in query(model, lambda _: df, "c").collect()}
+    assert rows[1].spot == (1.5, 2.0) and rows[2].spot is None
+    assert rows[1].spots == [((3.0, 4.0),)] and rows[1].m == {"k": ("v",)} and rows[2].spots is None and rows[2].m is None
+    with pytest.raises(ModelError):
+        query(Model(Collection("c", "id", points=(GeoPoint("spot", "x", "y"),))), lambda _: df, "c").df()
+
+
+def test_rows_retries_and_negations(world):
+    book = world("book")
+    assert sorted(r.id for r in book.rows()) == ["a", "b", "c"]
+    assert len(book.collect(attempts=2)) == 3
+    turns = []
+    def failing():
+        turns.append(1)
+        raise PySparkException("gone")
+    broken = book.where(f("price") > 0)
+    object.__setattr__(broken, "df", failing)
+    with pytest.raises(PySparkException):
+        broken.collect(attempts=3, wait=0.0)
+    assert len(turns) == 3
+    with pytest.raises(UnsupportedQuery):
+        book.where(~((f("price") > 1) & f("tags").contains("x"))).df()
+    for name in ("contains", "default_if_empty"):
+        with pytest.raises(UnsupportedQuery):
+            getattr(book, name)()
+
+
+def test_children_without_a_window(spark):
+    from folio.tables import documents
+
+    def plan(q):
+        return q.df()._jdf.queryExecution().executedPlan().toString()
+    q = documents(spark, "/root/testdata/sf0.001", "customer")
+    assert "Window" not in plan(q.include(child("orders"))) and "Window" not in plan(q.include(child("orders").order_by("o_totalprice", desc=True).include(child("lines"))))
+    assert "Limit" in plan(documents(spark, "/root/testdata/sf0.001", "orders").any())
