@@ -79,3 +79,46 @@ def test_ties_and_long_texts(spark):
     got = sorted((r.doc_id, r.lang_pred, round(r.score, 6)) for r in L.predict(df, model).collect())
     assert {x for i, x, _ in got if i in (1, 2)} == {"aa"} and len(got) == 6  # a tie: what sorts first
     assert next(r for r in got if r[0] == 3)[1] in ("aa", "bb")
+
+
+def test_prediction_brute_force(spark):
+    import math
+    from collections import Counter
+
+    rows = corpus() + [(1002 + 4 * i, "thomithderthaque " * i + "quoñaqlaqquoque der ßerßerdünündder xyz", None) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in L.predict(df, L.fit(df, df.filter("doc_id % 4 <> 2"))).collect()}
+    langs, texts = ["aa", "bb", "cc"], Counter()
+    words, grams = {x: Counter() for x in langs}, {x: Counter() for x in langs}
+    for i, t, x in rows:
+        if i % 4 != 2:
+            words[x].update(t.lower().split())
+            texts.update(set(t.lower().split()))
+    for x in langs:
+        for w in words[x]:
+            m = f"<{w}>"
+            grams[x].update(m[a:b] for a in range(len(m)) for b in range(a + 1, min(len(m), a + 5) + 1))
+
+    def logs(counts, tokens, size):
+        return {t: [math.log((counts[x][t] + 0.1) / (sum(counts[x][u] for u in tokens) + 0.1 * size)) for x in langs] for t in tokens}
+
+    of_words = logs(words, [w for w, n in texts.items() if n > 1], L.MODEL_WORDS)
+    of_grams = logs(grams, sorted(set().union(*grams.values())), L.MODEL_GRAMS)
+
+    def of(word):
+        if word in of_words:
+            return of_words[word]
+        m, taken = f"<{word}>", []
+        while m:
+            piece = next((m[:n] for n in range(5, 0, -1) if len(m) >= n and m[:n] in of_grams), None)
+            taken += [of_grams[piece]] if piece else []
+            m = m[len(piece or "?") :]
+        return [sum(v[k] for v in taken) / max(1, len(taken)) for k in range(3)]
+
+    assert any(w not in of_words for _, t, _ in rows for w in t.lower().split())
+    for i, t, _ in rows:
+        each = [of(w) for w in t.lower().split()]
+        means = [sum(v[k] for v in each) / len(each) for k in range(3)]
+        best = max(range(3), key=lambda k: (round(means[k], 9), -k))
+        assert got[i].lang_pred == langs[best]
+        assert abs(got[i].score - 1 / sum(math.exp(m - means[best]) for m in means)) < 1e-6

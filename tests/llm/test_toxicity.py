@@ -91,3 +91,75 @@ def test_long_text_and_ties(spark):
     assert short and [x[:2] for x in model.segments(words, {})][: len(short)] == [x[:2] for x in short]  # segments are found in a very long text alike
     scores = np.array([1.0, -1.0, 1.0, -3.0, 1.0])
     assert [(a, b) for a, b, _ in T.maximal_segments(scores)] == [(0, 1), (2, 3), (4, 5)]  # equal runs stay apart
+
+
+def brute_scores(words, word_scores, beginnings):
+    out = []
+    for i, w in enumerate(words):
+        s = word_scores.get(w, beginnings.get(w[:4], -1.0))
+        out.append(min(s, -1.0) if i and words[i - 1] == w else s)
+    return out
+
+
+def brute_sums(scores):
+    """Sums of the segments that ``brute_segments`` names, from a table of all runs."""
+    before = np.concatenate([[0.0], np.cumsum(scores)])
+    table = np.round(before[None, :] - before[:, None], 9)
+    table[np.tril_indices(len(before))] = -np.inf
+    found, todo = [], [(0, len(scores))]
+    while todo:
+        lo, hi = todo.pop()
+        own = table[lo:hi, lo + 1 : hi + 1]
+        if hi <= lo or own.max() <= 0:
+            continue
+        a, b = min(zip(*np.nonzero(own == own.max())), key=lambda x: (x[1] - x[0], x[0]))
+        found.append(own.max())
+        todo += [(lo, lo + a), (lo + b + 1, hi)]
+    return found
+
+
+def test_score_brute_force(spark):
+    import math
+    from collections import Counter
+
+    rows = corpus()
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = {i: y for i, _, y in rows if i % 3}
+    got = {r.doc_id: r.score for r in T.score(df, T.fit(df, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"))).collect()}
+    # the texts that count words are told from the others by Spark's hash; all else is plain Python
+    counting = {r.doc_id for r in df.selectExpr("doc_id", "pmod(xxhash64(text), 3) as fold").collect() if r.fold}
+    words = {i: t.lower().split() for i, t, _ in rows}
+    all_of, met = Counter(), {0: Counter(), 1: Counter()}
+    for i in labels.keys() & counting:
+        all_of[labels[i]] += 1
+        met[labels[i]].update(("w", w) for w in set(words[i]))
+        met[labels[i]].update(("b", b) for b in {w[:4] for w in words[i]})
+    share = all_of[1] / (all_of[0] + all_of[1])
+
+    def odds(p):
+        return min(max(math.log(p / (1 - p)) - math.log(share / (1 - share)), -2), 8) - 1
+
+    known = [t for t in met[0].keys() | met[1].keys() if met[0][t] + met[1][t] >= 3]
+    shares = {b: (met[1][k, b] + 20 * share) / (met[0][k, b] + met[1][k, b] + 20) for k, b in known if k == "b"}
+    scored = {w: odds((met[1][k, w] + 4 * shares.get(w[:4], share)) / (met[0][k, w] + met[1][k, w] + 4)) for k, w in known if k == "w"}
+    begun = {b: odds(p) for b, p in shares.items()}
+    sums = {i: brute_sums(brute_scores(own, scored, begun)) for i, own in words.items()}
+    rest = sorted(labels.keys() - counting)
+    quiet = [i for i in rest if not labels[i] and sums[i]]
+    location, scale = T._fit_gumbel(np.array([max(sums[i], default=0.0) for i in rest if not labels[i]]), np.array([len(words[i]) for i in rest if not labels[i]]))
+    if len(quiet) >= 20:
+        best = [max(sums[i]) for i in quiet]
+        assert abs(scale - max(0.3, float(np.std(best)) * 6**0.5 / math.pi)) < 1e-9
+
+    def evidence(i):
+        chances = [math.exp(-((s - location) / scale - math.log(len(words[i])))) for s in sums[i]]
+        return math.log1p(sum(-math.log(-math.expm1(-c)) if c > 1e-12 else -math.log(c) for c in chances))
+
+    weight, bias = T._fit_logistic(np.array([evidence(i) for i in rest]), np.array([float(labels[i]) for i in rest]))
+    wanted = {i: 1 / (1 + math.exp(-weight * evidence(i) - bias)) for i in words}
+    assert got.keys() == wanted.keys()
+    assert max(abs(got[i] - wanted[i]) for i in got) < 1e-5
+    # the line through the calibration texts is where the logistic loss, with its ridge, is flat
+    x, y = np.array([evidence(i) for i in rest]), np.array([float(labels[i]) for i in rest])
+    left = 1 / (1 + np.exp(-weight * x - bias)) - y
+    assert abs((left * x).sum() + 0.01 * weight) < 1e-3 and abs(left.sum() + 0.01 * bias) < 1e-3
