@@ -306,6 +306,49 @@ def test_late_updates_of_a_stream(spark, tmp_path):
         assert {(r.id, r.name, r.v) for r in store.frame("t").collect()} == {(1, "a", 5), (2, "new", 2)}
 
 
+def test_streams_rewrite_the_folders_they_touch(spark, tmp_path):
+    import os
+
+    from folio.streaming.changes import apply_updates
+
+    spark.range(200).selectExpr("id", "'old' as name", "1 as v").write.parquet(f"{tmp_path}/t.parquet")
+    said = []
+    store = ParquetStore(spark, str(tmp_path), Model(Collection("t", "id")), said.append)
+    assert store.parts_of("t", spark.range(3)) is None
+    store.partition("t", 8)
+    assert store.frame("t").columns == ["id", "name", "v"] and store.frame("t").count() == 200 and store.get("t", 7).name == "old"
+
+    def files():
+        return {d: sorted(os.listdir(f"{tmp_path}/t.parquet/{d}")) for d in os.listdir(f"{tmp_path}/t.parquet") if "=" in d}
+    before = files()
+    assert len(before) == 8
+    # the stream's key has another type than the stored one
+    spark.createDataFrame([(3, "new", 2), (4, "late", 0), (3, "first", 1), (999, "unknown", 5), (None, "none", 5)], "id int, name string, v int").write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("id int, name string, v int").parquet(f"{tmp_path}/in")
+    touched = store.parts_of("t", spark.createDataFrame([(3,), (4,), (999,)], "id int"))
+    assert 0 < len(touched) < 8
+    for run in ("x", "y"):
+        apply_updates(store, "t", stream, ["name"], "v").option("checkpointLocation", f"{tmp_path}/{run}").trigger(availableNow=True).start().awaitTermination()
+        rows = {r.id: (r.name, r.v) for r in store.frame("t").collect()}
+        assert len(rows) == 200 and rows.pop(3) == ("new", 2) and set(rows.values()) == {("old", 1)}
+        assert {int(d.split("=")[1]) for d, x in files().items() if x != before[d]} == set(touched)
+    assert said == ["commit t", "commit t"]  # the second run changed nothing
+    scan = store.frame("t", touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in scan and "__part_of_8" in scan.split("PartitionFilters")[1].split("]")[0]
+
+    store.append("t", spark.createDataFrame([(500, "added", 1)], "id long, name string, v int"))
+    assert store.get("t", 500).name == "added" and len(files()) == 8
+    # a change that leaves a folder without rows, and one that fails
+    with pytest.raises(Exception, match="broken"):
+        store.replace("t", store.frame("t", touched).withColumn("name", F.raise_error(F.lit("broken")).cast("string")), touched)
+    assert store.frame("t").count() == 201
+    store.replace("t", store.frame("t", touched).filter("id < 0"), touched)
+    assert len(files()) == 8 - len(touched) and not {3, 4} & {r.id for r in store.frame("t").collect()}
+    assert all(not n.startswith(".t") or n.endswith(".crc") for n in os.listdir(tmp_path))
+    store.replace("t", store.frame("t").limit(0))
+    assert store.frame("t").columns == ["id", "name", "v"] and store.frame("t").isEmpty()
+
+
 def test_shapes(spark):
     df = spark.createDataFrame([(1, 1.5, 2, [((3.0, 4.0), "s")], {"k": ("v", "s")}), (2, None, 2, None, None)], "id int, lat double, lon int, spots array<struct<at:struct<latitude:double,longitude:double>,secret:string>>, m map<string,struct<a:string,secret:string>>")
     model = Model(Collection("c", "id", arrays=(ArrayOf("spots", "embedded", ignore=("secret",)),), maps=(MapOf("m", ignore=("secret",)),), points=(GeoPoint("spot", "lat", "lon"), GeoPoint("spots.at"))))
