@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.common import checkpointed
@@ -176,13 +176,20 @@ def _split(cells: DataFrame, refs: np.ndarray, reach: int) -> DataFrame:
 
     A cell of width ``CELL`` holds fingerprints by their distance; one that is up
     to ``reach`` below the next cell goes there too.  So two that differ in at most
-    ``reach`` bits share a cell for every pivot: that of the larger distance.
+    ``reach`` bits share a cell for every pivot: that of the larger distance.  The
+    cells of all pivots are found before a row is copied to any, so that no
+    pivot's copies are made again for the next.
     """
-    for ref in refs.view(np.int64).tolist():
-        far = F.bit_count(F.col("fp").bitwiseXOR(F.lit(ref)))
+
+    def cut(met: Column, ref: Column) -> Column:
+        far = F.bit_count(F.col("fp").bitwiseXOR(ref))
         own = F.array_distinct(F.array(F.floor((far - CUT) / CELL), F.floor((far - CUT + reach) / CELL)))
-        cells = cells.select("cell", "fp", F.explode(own).alias("c")).select(F.xxhash64("cell", "c").alias("cell"), "fp")
-    return cells
+        return F.flatten(F.transform(met, lambda cell: F.transform(own, lambda c: F.xxhash64(cell, c))))
+
+    if not len(refs):
+        return cells
+    dealt = F.aggregate(F.array(*[F.lit(r) for r in refs.view(np.int64).tolist()]), F.array("cell"), cut)
+    return cells.select(F.explode(dealt).alias("cell"), "fp")
 
 
 def links(distinct: DataFrame, reach: int = REACH, n_pivots: int = PIVOTS, crowded: int = CROWDED) -> DataFrame:

@@ -122,3 +122,21 @@ def test_representatives_keep_texts_that_are_no_near_copies(spark):
     df = spark.createDataFrame([(1, t, "x") for t in texts] + [(None, "one more text of its own kind", "y"), (2, texts[0], "z")] + [(3, texts[1], "w")] * 2, "doc_id long, text string, row_id string")
     kept = sorted((str(r.doc_id), r.text, r.row_id) for r in S.representatives(df).collect())
     assert kept == [("1", texts[0], "x"), ("1", texts[1], "x"), ("None", "one more text of its own kind", "y")]
+
+
+def test_cells_of_all_pivots_in_one_step(spark):
+    rng = np.random.default_rng(11)
+    fps = np.unique(rng.integers(0, 1 << 64, 500, dtype=np.uint64))
+    near = fps ^ np.uint64(1) ^ (np.uint64(1) << rng.integers(1, 64, len(fps), dtype=np.uint64))
+    refs = S.pivots(5)
+    df = spark.createDataFrame([(int(x),) for x in np.r_[fps, near].view(np.int64)], "fp long")
+    split = S._split(df.selectExpr("0L as cell", "fp"), refs, 2)
+    met = {}
+    for r in split.collect():
+        met.setdefault(r.fp, []).append(r.cell)
+    own = lambda far: len({(far - S.CUT) // S.CELL, (far - S.CUT + 2) // S.CELL})
+    for x, y in zip(fps, near, strict=True):
+        a, b = met[int(x.astype(np.int64))], met[int(y.astype(np.int64))]
+        assert set(a) & set(b) and len(a) == len(set(a)) == np.prod([own(int(np.bitwise_count(x ^ r))) for r in refs])
+    assert split._jdf.queryExecution().executedPlan().toString().count("Generate") == 1
+    assert S._split(df.selectExpr("0L as cell", "fp"), refs[:0], 2).count() == df.count()
